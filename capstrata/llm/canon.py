@@ -13,7 +13,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pair_rows, require
+from .common import attach_group, materialize, pair_rows, require
 
 # Letters that look like a Latin one, by script; and what they look like.
 CYRILLIC = "АВЕЅІЈКМНОРСТУХҮԌԜԚаеѕіјорсухһԁԛԝӏүёїЁЇӓӧӒӦ"
@@ -34,6 +34,9 @@ CONTROLS = "".join(map(chr, [*range(0, 9), *range(14, 32), *range(127, 160)]))
 
 _wide = {c: n for c in map(chr, range(0xFF01, 0xFFEF)) if len(n := unicodedata.normalize("NFKC", c)) == 1 and n != c}
 WIDE, WIDE_AS = "".join(_wide), "".join(_wide.values())
+#: By rule: letters with an accent, and the letter without.
+ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x2000)) if 1 < len(d := unicodedata.normalize("NFD", c)) and d[0].isalpha() and all(map(unicodedata.combining, d[1:])))
+ACCENTED_AS = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
 LOOKALIKE, LOOKALIKE_AS = CYRILLIC + GREEK + ARMENIAN + LATIN, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS + LATIN_AS
 
 
@@ -63,11 +66,29 @@ def oddness(text: Column) -> Column:
     return odd + F.regexp_count(text, F.lit(r"\p{Mn}")) + F.regexp_count(text, F.lit(rf"\p{{IsLatin}}(?={letters})|{letters}(?=\p{{IsLatin}})"))
 
 
-def _members(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def coarse(form: Column) -> Column:
+    """The mapped text without accents: equal wherever the collation finds two forms equal, and cheap to hash."""
+    return F.translate(F.regexp_replace(form, r"\p{Mn}", ""), ACCENTED, ACCENTED_AS)
+
+
+def _candidates(df: DataFrame, id_col: str, text_col: str, keep_rest: bool) -> DataFrame:
+    """(id, text, form, n): rows whose coarse form has two different texts or more; n is null for the others, if kept.
+
+    Only these reach the collation, whose comparisons cost a hundred times a hash.
+    """
     rows = require(df, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # Rows whose ASCII text holds no look-alike are most rows: the costly steps leave them as they are.
     plain = F.col("text").rlike(r"^[\x20-\x7e]*$")
-    return rows.withColumn("form", F.collate(F.when(plain, F.col("text")).otherwise(mapped(F.col("text"))), "UNICODE"))
+    rows = rows.withColumn("form", F.when(plain, F.col("text")).otherwise(mapped(F.col("text"))))
+    rows = rows.withColumn("key", F.xxhash64(F.when(plain, F.col("text")).otherwise(coarse(F.col("form")))))
+    known = rows.where(F.col("text").isNotNull() & F.trim("form").rlike(r"\S"))
+    code = F.xxhash64("text")
+    groups = known.groupBy("key").agg(F.min(code).alias("low"), F.max(code).alias("high"), F.count(F.lit(1)).alias("n")).where("low <> high").select("key", "n")
+    if not keep_rest:
+        return materialize(attach_group(known, groups, ["key"]).select("id", "text", "form", "n"), "looks")
+    blank = F.col("text").isNull() | ~F.coalesce(F.trim("form").rlike(r"\S"), F.lit(False))
+    rest = rows.where(blank).unionByName(known.join(groups, "key", "left_anti")).withColumn("n", F.lit(None).cast("bigint"))
+    several = attach_group(known, groups, ["key"])
+    return materialize(several.unionByName(rest).select("id", "text", "form", "n"), "forms")
 
 
 def same_look(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption") -> DataFrame:
@@ -76,24 +97,24 @@ def same_look(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption")
     Null and blank texts (white space and invisible characters only) never count. Equal texts of several rows come out
     in every pair with an unequal one. An empty table gives no rows.
     """
-    rows = _members(df, id_col, text_col).where(F.col("text").isNotNull() & F.trim(tidy(F.col("text"))).rlike(r"\S"))
+    rows = _candidates(df, id_col, text_col, False).withColumn("form", F.collate("form", "UNICODE")).drop("n")
     classes = rows.groupBy("form").agg(F.min("text").alias("low"), F.max("text").alias("high"), F.min("id").alias("class"), F.count(F.lit(1)).alias("n"))
-    classes = classes.where("low <> high").select("form", "class", "n")
-    members = materialize(rows.join(classes, "form").select("id", "text", "class", "n"), "looks")
-    return pair_rows(members, ["class"], "id", other="text")
+    members = attach_group(rows, classes.where("low <> high").select("form", "class", "n"), ["form"])
+    return pair_rows(materialize(members.select("id", "text", "class", "n"), "classes"), ["class"], "id", other="text")
 
 
 def canonical(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption") -> DataFrame:
     """(id_col, canonical): one form of every text. The canonical member of a class is its least odd text, the smallest
     among equals; width forms, spaces and invisible characters are tidied in it as well.
 
-    Null stays null and an empty text stays empty. Repeated rows: a row each.
+    Null stays null, empty and blank texts are tidied only. Repeated rows: a row each.
     """
-    rows = _members(df, id_col, text_col)
+    rows = _candidates(df, id_col, text_col, True)
+    several = rows.where("n is not null").withColumn("form", F.collate("form", "UNICODE")).drop("n")
     best = F.min(F.struct(oddness(F.col("text")).alias("odd"), F.col("text"))).alias("best")
-    classes = rows.where("text is not null").groupBy("form").agg(best)
-    joined = rows.join(classes, "form", "left")
-    return joined.select(F.col("id").alias(id_col), tidy(F.col("best.text")).alias("canonical"))
+    classes = several.groupBy("form").agg(best, F.count(F.lit(1)).alias("n"))
+    joined = attach_group(several, classes, ["form"]).select("id", F.col("best.text").alias("text"))
+    return joined.unionByName(rows.where("n is null").select("id", "text")).select(F.col("id").alias(id_col), tidy(F.col("text")).alias("canonical"))
 
 
 # The same mapping for texts in Python, word by word: operators on words call it inside their Arrow step.

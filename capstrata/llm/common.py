@@ -52,13 +52,15 @@ def attach_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str
     """rows joined with their group's one row of values, without moving a hot group into one task.
 
     Only HOT_GROUPS groups can hold more than one part in HOT_GROUPS of all rows each; these few are broadcast (a fixed
-    bound), and the rows of all others meet their group through a shuffle.
+    bound), and their rows are spread over all tasks by a salt. The rows of all others meet their group in a shuffle.
     """
-    hot = groups.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).withColumn("_hot", F.lit(True))
-    rest = groups.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     values = [c for c in groups.columns if c not in keys]
-    marked = rows.join(F.broadcast(hot), keys, "left")
-    return marked.where("_hot").drop("_hot").unionByName(marked.where("_hot is null").drop("_hot", *values).join(rest, keys))
+    hot = groups.orderBy(F.desc(size), *keys).limit(HOT_GROUPS).select(*keys, F.struct(*values).alias("_hot"))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(4096)) + 1).otherwise(F.lit(0).cast("bigint"))
+    marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
+    cold = groups.select(*keys, F.lit(0).cast("bigint").alias("_salt"), F.struct(*values).alias("_cold"))
+    both = marked.join(cold, [*keys, "_salt"], "left").withColumn("_group", F.coalesce("_hot", "_cold")).where("_group is not null")
+    return both.select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in values])
 
 
 def pair_rows(members: DataFrame, keys: list[str], row_id: str, other: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
