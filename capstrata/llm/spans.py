@@ -129,9 +129,10 @@ def document_chunks(df: DataFrame, min_chars: int, id_col: str = "doc_id", text_
 
 
 def shared_chunks(chunks: DataFrame) -> DataFrame:
-    """Chunks whose digest occurs in two documents or more. One shuffle, by digest."""
-    by = Window.partitionBy("hi", "lo")
-    return chunks.withColumn("_a", F.min("id").over(by)).withColumn("_b", F.max("id").over(by)).where("_a < _b").drop("_a", "_b")
+    """Chunks whose digest occurs in two documents or more, numbered in place. One shuffle, by digest."""
+    by = Window.partitionBy("hi", "lo").orderBy("id", "start")  # a stream over sorted rows: no group is held in memory
+    numbered = chunks.withColumn("place", F.row_number().over(by)).withColumn("_next", F.lead("id").over(by))
+    return numbered.where("place > 1 or _next is not null").drop("_next")
 
 
 def shared_spans(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -142,8 +143,7 @@ def shared_spans(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", te
     """
     shared = materialize(shared_chunks(document_chunks(df, min_chars, id_col, text_col)), "chunks")
     # A digest of very many documents is paired block by block: no task holds the whole group.
-    place = Window.partitionBy("hi", "lo").orderBy("id", "start")
-    members = shared.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK))
+    members = shared.withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
     blocks = members.groupBy("hi", "lo", "block").agg(F.collect_list(F.struct("id", "start", "end")).alias("rows"))
     a, b = blocks.alias("a"), blocks.alias("b")
     paired = (
