@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, canon, rawdup, spans
+from . import bpe, canon, encoding, packing, rawdup, spans
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,15 @@ def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.canonical(table(spark, sf_dir, "pairs"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_restored(spark, sf_dir).where("garbled").select("pair_id")
+
+
+def p5_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encoding.repaired(table(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs"))
+    return found.select(F.col("id").alias("pair_id"), "garbled", "restored")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rawdup.copies(table(spark, sf_dir, "raw_lines"))
 
@@ -33,6 +42,10 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"))
 
 
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.shared_spans(table(spark, sf_dir, "documents")).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
@@ -42,4 +55,4 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p3_canonical, p6_found, p6_collapsed, p8_ids, p10_found, p10_share)}
+    return {f.__name__: f for f in (p3_found, p3_canonical, p5_found, p5_restored, p6_found, p6_collapsed, p8_ids, p9_containers, p10_found, p10_share)}

@@ -93,10 +93,14 @@ def copies(df: DataFrame, id_col: str = "line_id", line_col: str = "raw_line") -
     """
     keys = ["fp_hi", "fp_lo"]
     rows = materialize(parsed_records(df, id_col, line_col), "records")
-    groups = rows.groupBy(*keys).agg(F.min("line_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = attach_group(rows, groups, keys)
-    firsts = members.where("line_id = first_id").select(*keys, "n", *[F.col(c).alias(f"first_{c}") for c in ("image", "score", "letters")]).dropDuplicates(keys)
-    checked = attach_group(members.drop("n"), firsts, keys).withColumn("same", F.expr("image <=> first_image and score = first_score and letters = first_letters"))
+    marks = rows.select("line_id", *keys)
+    groups = marks.groupBy(*keys).agg(F.min("line_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = attach_group(marks, groups, keys).select("line_id", "first_id", "n").distinct()
+    # Only the lines that have copies bring their fields along, once, and meet those of their first line.
+    members = materialize(rows.join(repeated.hint("shuffle_hash"), "line_id"), "members")
+    first = F.struct("image", "score", "letters").alias("first")
+    firsts = members.where("line_id = first_id").groupBy("first_id").agg(F.first(first).alias("first"), F.first("n").alias("n"))
+    checked = attach_group(members.drop("n"), firsts, ["first_id"]).withColumn("same", F.expr("image <=> first.image and score = first.score and letters = first.letters"))
     alike = checked.where("same and line_id <> first_id").select("first_id", F.col("line_id").alias("copy_id"))
     # Records that share a fingerprint by accident are grouped by their fields themselves.
     fields = [*keys, "image", "score", "letters"]
