@@ -7,12 +7,43 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, canon, encoding, packing, rawdup, spans
+from . import bpe, canon, encoding, language, neardup, packing, rawdup, residue, spans, truncation
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, refs = table(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs")
+
+    def left_out(rows: DataFrame) -> DataFrame:
+        """Cut and garbled captions don't count: their models see all rows, but only rows of pairs are judged."""
+        trained = encoding.train(pairs.select("caption"), [r[0] for r in refs.select("ref_text").where("ref_text is not null").limit(10_000).collect()])
+        garbled = encoding.repaired(rows, refs, trained=trained).where("garbled").select("id")
+        cut = truncation.truncated(pairs, refs, rows=rows, residue=residue.train(pairs)).where("cut").select("id")
+        return garbled.union(cut)
+
+    captions = neardup.near_captions(pairs, leave_out=left_out)
+    images = neardup.near_hashes(table(spark, sf_dir, "images"))
+    named = [df.select(F.lit(field).alias("field"), "id_a", "id_b") for field, df in (("caption", captions), ("image", images))]
+    return named[0].unionByName(named[1])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut(spark, sf_dir).where("cut").select(F.col("id").alias("pair_id"))
+
+
+def p2_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts: captions, cut ones and their share."""
+    counts = _cut(spark, sf_dir).groupBy("source").agg(F.count(F.lit(1)).alias("captions"), F.count_if("cut").alias("cut"))
+    return counts.withColumn("share", F.col("cut") / F.col("captions"))
+
+
+def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = table(spark, sf_dir, "pairs")
+    return truncation.truncated(pairs, table(spark, sf_dir, "lang_refs"), residue=residue.train(pairs))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.same_look(table(spark, sf_dir, "pairs")).select(F.col("id_a").alias("pair_id_a"), F.col("id_b").alias("pair_id_b"))
 
@@ -21,6 +52,14 @@ def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canon.canonical(table(spark, sf_dir, "pairs"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_scores(spark, sf_dir).where("residue").select("pair_id")
+
+
+def p4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.scored(table(spark, sf_dir, "pairs")).withColumnRenamed("id", "pair_id")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_restored(spark, sf_dir).where("garbled").select("pair_id")
 
@@ -38,6 +77,16 @@ def p6_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rawdup.collapsed(table(spark, sf_dir, "raw_lines"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_parts(spark, sf_dir).where("wrong").select("pair_id", "lang").distinct()
+
+
+def p7_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = table(spark, sf_dir, "pairs")
+    parts = language.languages(pairs, table(spark, sf_dir, "lang_refs"), residue=residue.train(pairs))
+    return parts.withColumnRenamed("id", "pair_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -55,4 +104,4 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p3_found, p3_canonical, p5_found, p5_restored, p6_found, p6_collapsed, p8_ids, p9_containers, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p2_found, p2_sources, p3_found, p3_canonical, p4_found, p4_scores, p5_found, p5_restored, p6_found, p6_collapsed, p7_found, p7_parts, p8_ids, p9_containers, p10_found, p10_share)}
