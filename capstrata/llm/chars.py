@@ -83,10 +83,10 @@ def count_ngrams(texts: DataFrame, clean: Callable[[list[str]], list[str]]) -> l
         base = 0
         for table in tables:
             used = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays([pa.array(used + base), pa.array(table[used])], ["slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array((used + base).astype(np.int32)), pa.array(table[used])], ["slot", "n"])
             base += len(table)
 
-    found = texts.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    flat = np.zeros(sum(1 << b for b in BITS), np.int64)
+    found = texts.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").cast("float").alias("n")).toArrow()
+    flat = np.zeros(sum(1 << b for b in BITS), np.float32)
     flat[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     return np.split(flat, np.cumsum([1 << b for b in BITS])[:-1])
