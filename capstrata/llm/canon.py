@@ -122,6 +122,7 @@ def canonical(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption")
 _tidy_table = {ord(c): None for c in INVISIBLE} | {ord(c): " " for c in SPACES} | {ord(a): b for a, b in zip(WIDE, WIDE_AS)} | {ord(k): v for k, v in LIGATURES.items()}
 _to_latin = {ord(a): b for a, b in zip(LOOKALIKE, LOOKALIKE_AS)}
 _to_cyrillic = {ord(b): a for a, b in zip(reversed(CYRILLIC), reversed(CYRILLIC_AS))} | {ord(a): c for a, b in zip(GREEK + ARMENIAN + LATIN, GREEK_AS + ARMENIAN_AS + LATIN_AS) for c, d in zip(CYRILLIC, CYRILLIC_AS) if d == b}
+_untidy = re.compile("[" + "".join(map(re.escape, INVISIBLE + JOINER + SPACES + "".join(LIGATURES))) + "\uff01-\uffee]")
 _foreign = re.compile(r"[Ͱ-֏ɑɡıſʀ]")
 _word = re.compile(r"[^\W\d_]+")
 _cyrillic_only = re.compile(f"[{''.join(c for c in map(chr, range(0x400, 0x530)) if c not in CYRILLIC)}]")
@@ -135,7 +136,9 @@ def repair(text: str) -> str:
     """
     if text.isascii():
         return text
-    text = unicodedata.normalize("NFC", text.translate(_tidy_table).replace(JOINER, ""))
+    if _untidy.search(text):
+        text = text.translate(_tidy_table).replace(JOINER, "")
+    text = unicodedata.normalize("NFC", text)
     if not _foreign.search(text):
         return text
     cyrillic, latin = len(_cyrillic_only.findall(text)), len(_latin_only.findall(text))

@@ -215,18 +215,27 @@ def decode(model: PieceModel, lists: list[list[str]]) -> list[list[tuple[int, in
         keep = best[on] >= change[:, None]
         stay[t, on], came[t, on] = keep, top
         best[on] = np.where(keep, best[on], change[:, None]) + scores[starts[on] + t]
+    final = best.argmax(1)
+    lang, changed = final.copy(), np.zeros(rows, bool)
+    for t in range(longest - 1, 0, -1):
+        on = order[: np.searchsorted(-n[order], -t)]
+        moved = on[~stay[t, on, lang[on]]]
+        changed[moved], lang[moved] = True, came[t, moved]
+    filled = np.flatnonzero(n)
+    sums = np.zeros((rows, len(LANGUAGES)))
+    sums[filled] = np.add.reduceat(scores, starts[filled])
+    mains = sums.argmax(1)
+    sure = np.exp(np.clip((sums - sums.max(1, keepdims=True)) / 2.0, -60, 0))
+    sure = sure.max(1) / sure.sum(1)
     out = []
-    for i in range(rows):
-        if not n[i]:
+    for i, size, main, confidence, mixed in zip(range(rows), n.tolist(), mains.tolist(), sure.tolist(), changed.tolist()):
+        if not size:
             out.append([])
-            continue
-        own = scores[starts[i] : starts[i] + n[i]]
-        total = own.sum(0)
-        main = int(total.argmax())
-        lang, end, parts = int(best[i].argmax()), int(n[i]), []
-        if stay[1 : n[i], i].all():
-            parts = [(main, 0, end)]
+        elif not mixed:
+            out.append([(main, 0, size, confidence)])
         else:
+            own = scores[starts[i] : starts[i] + size]
+            lang, end, parts = int(final[i]), size, []
             for t in range(int(n[i]) - 1, -1, -1):
                 if t and not stay[t, i, lang]:
                     parts.append((lang, t, end))
@@ -247,12 +256,12 @@ def decode(model: PieceModel, lists: list[list[str]]) -> list[list[tuple[int, in
                     parts[-1] = (p[0], parts[-1][1], p[2])
                 else:
                     parts.append(p)
-        done = []
-        for p in parts:
-            part = own[p[1] : p[2]].sum(0)
-            part = np.exp(np.clip((part - part.max()) / 2.0, -60, 0))
-            done.append((*p, float(part[p[0]] / part.sum())))
-        out.append(done)
+            done = []
+            for p in parts:
+                part = own[p[1] : p[2]].sum(0)
+                part = np.exp(np.clip((part - part.max()) / 2.0, -60, 0))
+                done.append((*p, float(part[p[0]] / part.sum())))
+            out.append(done)
     return out
 
 
