@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .text import shingles
+from .text import bound, shingles
 
 BITS = 64
 
@@ -33,10 +33,13 @@ def from_hex64(text: Column) -> Column:
 
 def simhash_expression(text: Column, bits: int = BITS) -> Column:
     """SimHash in built-in functions alone: a bit is set where more than half of the shingles' hashes have it."""
-    low = F.transform(shingles(text), lambda s: F.conv(F.substring(F.md5(s), 17, 16), 16, -10).cast("bigint"))
-    size = F.size(low)
-    one = lambda i: F.size(F.filter(low, lambda h: F.shiftright(h, i).bitwiseAND(F.lit(1).cast("bigint")) == 1)) * 2 > size
-    return F.aggregate(F.array(*[F.lit(i) for i in range(bits)]), F.lit(0).cast("bigint"), lambda acc, i: acc.bitwiseOR(F.when(one(i), F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))))
+    zero, unit = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+
+    def vote(hashes: Column) -> Column:
+        one = lambda i: F.size(F.filter(hashes, lambda h: F.call_function("shiftright", h, i).bitwiseAND(unit) == 1)) * 2 > F.size(hashes)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(bits - 1)), zero, lambda acc, i: acc.bitwiseOR(F.when(one(i), F.call_function("shiftleft", unit, i)).otherwise(zero)))
+
+    return bound(F.transform(shingles(text), lambda s: F.conv(F.substring(F.md5(s), 17, 16), 16, -10).cast("bigint")), vote)
 
 
 _weights = (np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)).astype(np.uint64)
@@ -53,13 +56,17 @@ def simhash_of(parts: list[str], bits: int = BITS) -> int:
 
 
 @F.pandas_udf(LongType())
-def _simhash_udf(parts: pd.Series) -> pd.Series:
-    return parts.map(lambda p: simhash_of([] if p is None else list(p)))
+def _simhash_udf(text: pd.Series) -> pd.Series:
+    def one(value: str | None, k: int = 3) -> int:
+        tokens = (value or "").lower().split()
+        return simhash_of(tokens if len(tokens) < k else [" ".join(tokens[i : i + k]) for i in range(len(tokens) - k + 1)])
+
+    return text.map(one)
 
 
 def simhash(text: Column) -> Column:
-    """SimHash over word shingles; 0 for null and empty texts. Shingles come from the JVM, the votes from numpy."""
-    return _simhash_udf(shingles(F.coalesce(text, F.lit(""))))
+    """SimHash over word shingles, votes in numpy; 0 for null and empty texts. The same values as simhash_expression."""
+    return _simhash_udf(text)
 
 
 @lru_cache(maxsize=8)

@@ -24,6 +24,11 @@ SPAM = {
 }
 
 
+def bound(value: Column, then) -> Column:
+    """then(value) with the value computed once: inside a lambda an expression would be computed for every element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def squeeze(text: Column) -> Column:
     """White space collapsed to single spaces, none at the ends."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
@@ -72,11 +77,15 @@ def words(text: Column) -> Column:
 
 def has_repeated_ngrams(text: Column, n: int = 4, max_repeat: int = 3) -> Column:
     """Whether one of the overlapping n-grams of words comes max_repeat times or more; false below n * max_repeat words."""
-    tokens = words(text)
-    grams = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, n))))
-    last = F.size(tokens) - (n - 1) - (max_repeat - 1)
-    again = F.exists(F.sequence(F.lit(0), last - 1), lambda i: F.get(grams, i) == F.get(grams, i + (max_repeat - 1)))
-    return F.when(F.size(tokens) < n * max_repeat, F.lit(False)).otherwise(again)
+
+    def again(grams: Column) -> Column:
+        return F.exists(F.sequence(F.lit(0), F.size(grams) - max_repeat), lambda i: F.get(grams, i) == F.get(grams, i + (max_repeat - 1)))
+
+    def test(tokens: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, n)))
+        return F.when(F.size(tokens) < n * max_repeat, F.lit(False)).otherwise(bound(F.array_sort(grams), again))
+
+    return bound(words(text), test)
 
 
 def is_spam(text: Column) -> Column:
@@ -94,9 +103,12 @@ def sha256_hex(value: Column) -> Column:
 
 def shingles(text: Column, k: int = 3) -> Column:
     """Overlapping k-grams of words; fewer than k words stand alone; none for an empty text."""
-    tokens = words(text)
-    grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - (k - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, k)))
-    return F.when(F.size(tokens) < k, tokens).otherwise(grams)
+
+    def cut(tokens: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - (k - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, k)))
+        return F.when(F.size(tokens) < k, tokens).otherwise(grams)
+
+    return bound(words(text), cut)
 
 
 def prefix_key(text: Column, size: int = 40) -> Column:
