@@ -44,6 +44,13 @@ def require(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def sample_share(df: DataFrame, id_col: str, rows: int) -> DataFrame:
+    """About `rows` rows of df, or all if it has fewer: those whose id hashes into a share of the range. The same rows at
+    any partitioning, and no task sends more than its own part of them."""
+    share = 1_000_000 * rows // max(1, df.count())
+    return df if share >= 1_000_000 else df.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < F.lit(share))
+
+
 HOT_GROUPS = 1024  # as many groups at most can each hold more than 1/HOT_GROUPS of all rows
 BLOCK_ROWS = 64
 

@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chars import mix
-from .common import require
+from .common import require, sample_share
 
 LANGUAGES = ("en", "zh", "de", "fr", "es", "ru", "pt")
 #: Other names of the languages in labels.
 NAMES = {"eng": "en", "english": "en", "zho": "zh", "chi": "zh", "chinese": "zh", "deu": "de", "ger": "de", "german": "de", "fra": "fr", "fre": "fr", "french": "fr", "spa": "es", "spanish": "es", "rus": "ru", "russian": "ru", "por": "pt", "portuguese": "pt"}
-SAMPLE_ROWS = 20_000  # bound of the labelled rows that the model is fitted on, the first by a hash of their id
+SAMPLE_ROWS = 20_000  # bound of the labelled rows that the model is fitted on, a share by a hash of their id
 LONGEST = 10  # characters of a piece
 WORD = 36  # a longer word is scored in parts of so many characters
 CHANGE = 9.0  # cost of a change of language between two words
@@ -292,9 +292,9 @@ def vocabulary_path(name: str = "piece_bpe_32k.model", folder: str | None = None
 
 
 def train(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", lang_col: str = "lang", path: str | None = None) -> PieceModel:
-    """The model of the trusted texts (refs: lang, ref_text) and at most SAMPLE_ROWS labelled rows."""
+    """The model of the trusted texts (refs: lang, ref_text) and about SAMPLE_ROWS labelled rows at any size."""
     trusted = [(r[0], r[1]) for r in require(refs, "lang", "ref_text").where("ref_text is not null").limit(10_000).collect()]
-    picked = require(df, id_col, text_col, lang_col).where(F.length(text_col) > 0).orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS)
+    picked = sample_share(require(df, id_col, text_col, lang_col), id_col, SAMPLE_ROWS).where(F.length(text_col) > 0)
     return learn(trusted, [(r[0], r[1]) for r in picked.select(lang_col, text_col).collect()], path or vocabulary_path())
 
 
