@@ -2,7 +2,8 @@
 
 A backward character n-gram model: for the last k characters before a place (words that are rare in the corpus stand as
 one mark each), how often does a text end there, and how often does it go on? A second one does the same for the letters
-before the end of a rare word. Ends at a limit or with a mark of omission don't count as ends. A value's
+before the end of a rare word. Both come from all rows; ends at a limit or with a mark of omission don't count as ends.
+The sums lie in the shared folder and workers read them there; the driver never holds them. A value's
 log-odds of going on against ending, for its final context, is compared with a threshold for each language, validated
 on trusted complete values; a value as long as the limit of its source needs less.
 """
@@ -14,20 +15,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import encoding
 from .canon import repair
 from .chars import mix
-from .common import require
+from .common import materialize, require
 
 ORDERS = (1, 3, 6, 10, 16, 28, 44)  # characters of the masked contexts
 WORD_ORDERS = (2, 3, 4, 6)  # letters of the contexts inside rare words
 DF_BITS, BITS = 20, 19
 COMMON = 2e-4  # a word in a larger share of rows is common
 TAIL = 110
-SAMPLE_ROWS = 60_000  # bound of the rows that the contexts of ends are fitted on
+PART = 2048  # counts of a table that travel together
 THRESHOLD, AT_LIMIT = 3.0, 6.0  # log-odds; what a length at the limit takes off
 SUPPORT = 10.0  # how many times the shorter context counts in the longer one
 MARK = re.compile(r"(?:…|\.\.\.|\[(?:more|…|\.\.\.)\]|\((?:more|…)\)|(?:read|see) more)\s*$", re.I)
@@ -97,8 +100,9 @@ class Masked:
         self.masked = masked[kept]
         self.place = np.cumsum(kept) - 1  # of each character in the masked row
 
-    def contexts(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """Slots of the contexts before each place where a word or a sign ends, whether a text ends there, and whose."""
+    def contexts(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+        """Slots of the contexts before each place where a word or a sign ends, whether a text ends there, the place, and
+        how many characters of the text stand up to it."""
         m = self.masked
         after = np.concatenate([m[1:], [np.uint64(1)]])
         letters = _wordy[np.minimum(m, 0xFFFF).astype(np.int64)]
@@ -114,7 +118,7 @@ class Masked:
         for k in ORDERS:
             low = np.maximum(at + 1 - k, head)
             out.append((mix((total[at + 1] - total[low]) * inverse[low] + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64))
-        return out, after[at] == 1, at
+        return out, after[at] == 1, at, at - head
 
     def word_contexts(self, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         """Slots of the letters before `end`, inside words that begin at `begin`."""
@@ -132,34 +136,43 @@ class EndModel:
     """Counts (all, ending) of contexts, and the backed-off chance that a text or a word ends after them."""
 
     def __init__(self, common: np.ndarray, texts: np.ndarray, words: np.ndarray, thresholds: dict[str, float] | None = None):
-        self.common, self.texts, self.words = common, texts.astype(np.float32), words.astype(np.float32)
+        self.common, self.texts, self.words = common, texts, words
         self.thresholds = thresholds or {}
 
     @staticmethod
-    def _chance(tables: np.ndarray, slots: list[np.ndarray], floor: float, own: int = 0) -> np.ndarray:
-        """own: 1 where the value itself may be among the counted ends, which must not speak for it."""
+    def _chance(tables: np.ndarray, slots: list[np.ndarray], floor: float, own: list[tuple] | None = None) -> np.ndarray:
+        """own: for each table what the value itself added to both counts, which must not speak for it."""
         p = np.full(len(slots[0]), floor)
-        for table, slot in zip(tables, slots):
-            p = (np.maximum(table[1][slot] - own, 0) + SUPPORT * p) / (np.maximum(table[0][slot] - own, 0) + SUPPORT)
+        for table, slot, (seen, ended) in zip(tables, slots, own or [(0, 0)] * len(slots)):
+            p = (np.maximum(table[1][slot] - ended, 0) + SUPPORT * p) / (np.maximum(table[0][slot] - seen, 0) + SUPPORT)
         return np.maximum(p, 1e-9)
 
-    def log_odds(self, values: list[str]) -> np.ndarray:
-        """For each value, the log-odds of its final context that the text was to go on."""
-        tails = []
-        for v in values:
+    def log_odds(self, values: list[str], seen: np.ndarray | None = None, ended: np.ndarray | None = None) -> np.ndarray:
+        """For each value, the log-odds of its final context that the text was to go on.
+
+        seen, ended: whether the value is among the counted texts, and whether its end is among the counted ends.
+        """
+        tails, whole = [], np.zeros(len(values), bool)
+        for i, v in enumerate(values):
             cut = v[-TAIL:]
-            tails.append(cut if len(cut) == len(v) or " " not in cut[:60] else cut[cut.index(" ") :])
+            whole[i] = len(cut) == len(v)
+            tails.append(cut if whole[i] or " " not in cut[:60] else cut[cut.index(" ") :])
         row = Masked(tails)
         row.mask(self.common)
-        slots, ends, at = row.contexts()
+        slots, ends, at, before = row.contexts()
         final = np.flatnonzero(ends)
         out = np.zeros(len(values))
-        p = self._chance(self.texts, [s[final] for s in slots], 0.003, 1)
         owner = np.searchsorted(row.place[row.text_end], at[final])
+        # A context that reaches beyond the tail of a longer value isn't the one that was counted.
+        reached = [whole[owner] | (k <= before[final]) for k in ORDERS]
+        none = np.zeros(len(values), bool)
+        seen, ended = (none if x is None else x for x in (seen, ended))
+        own = [((r & seen[owner]).astype(np.int32), (r & ended[owner]).astype(np.int32)) for r in reached]
+        p = self._chance(self.texts, [s[final] for s in slots], 0.003, own)
         odds = np.log1p(-np.minimum(p, 1 - 1e-6)) - np.log(p)
-        known = self.texts[1][0][slots[1][final]] >= 3  # a final context that was never seen says nothing
+        known = self.texts[1][0][slots[1][final]] - own[1][0] >= 3  # a final context that was never seen says nothing
         out[owner] = np.where(known, odds, 0.0)
-        # The last word, where it is a rare one: does it end there, or in the middle?
+        # The last word, where it is a rare one: does it end there, or in the middle? No last word is counted.
         last = np.flatnonzero(row.rare & (row.codes[row.end] == 1))
         if len(last):
             begin, end = row.begin[last], row.end[last]
@@ -169,22 +182,69 @@ class EndModel:
         return out
 
 
-def _sum_tables(texts: DataFrame, shape: int, fill: Callable[[list, np.ndarray], None]) -> np.ndarray:
-    """A table of `shape` counts summed over all partitions; each partition sends its own sums once."""
+class StoredModel:
+    """An EndModel by the files of its counts, which each worker reads once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(shape, np.int32)
+    _last: tuple[tuple, EndModel] | None = None
+
+    def __init__(self, common: np.ndarray, files: list[str]):
+        self.common, self.files, self.thresholds = common, tuple(sorted(files)), {}
+
+    def load(self) -> EndModel:
+        if StoredModel._last is None or StoredModel._last[0] != self.files:
+            counts = np.zeros((len(ORDERS) + len(WORD_ORDERS)) * 2 << BITS, np.int32)
+            for name in self.files:
+                fs, path = pafs.FileSystem.from_uri(name)
+                with fs.open_input_file(path) as f:
+                    for batch in pq.ParquetFile(f).iter_batches(256):
+                        _unpack(batch, counts)
+            half = len(ORDERS) * 2 << BITS
+            StoredModel._last = self.files, EndModel(self.common, counts[:half].reshape(len(ORDERS), 2, -1), counts[half:].reshape(len(WORD_ORDERS), 2, -1))
+        model = StoredModel._last[1]
+        model.thresholds = self.thresholds
+        return model
+
+
+def _unpack(batch: pa.RecordBatch, out: np.ndarray) -> None:
+    for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+        found = np.frombuffer(data.as_buffer(), np.int32)
+        out[part * PART : part * PART + len(found)] = found
+
+
+def _sum_tables(texts: DataFrame, shape: int, fill: Callable[[list, np.ndarray], None]) -> DataFrame:
+    """(part, data): a table of `shape` counts summed over all partitions, PART int32 in a row; parts of zeros are left out.
+
+    Each partition sends its own sums once, in the narrowest type that holds a part.
+    """
+    n_parts = -(-shape // PART)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(n_parts * PART, np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
-                fill([c.to_pylist() for c in batch.slice(at, CHUNK).columns], table)
-        used = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(table[used])], ["slot", "n"])
+                fill([c.to_pylist() for c in batch.slice(at, CHUNK).columns], table[:shape])
+        rows = table.reshape(-1, PART)
+        most = rows.max(1)
+        used = np.flatnonzero(most)
+        for at in range(0, len(used), 256):
+            some = used[at : at + 256]
+            data = [rows[i].astype(np.min_scalar_type(most[i])).tobytes() for i in some]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(data, pa.binary())], ["part", "data"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.frombuffer(raw := data.as_buffer(), f"u{len(raw) // PART}")
+                if part in sums:
+                    sums[part] += found
+                else:
+                    sums[part] = found.astype(np.int64)
+        for part, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()], pa.binary())], ["part", "data"])
 
-    summed = F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")
-    found = texts.mapInArrow(run, "slot int, n int").groupBy("slot").agg(summed).toArrow()
-    out = np.zeros(shape, np.int32)
-    out[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return out
+    kind = "part int, data binary"
+    return texts.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind)
 
 
 def limits(df: DataFrame, source_col: str = "source", text_col: str = "caption") -> DataFrame:
@@ -197,13 +257,9 @@ def limits(df: DataFrame, source_col: str = "source", text_col: str = "caption")
     return marked.where("n >= 8 and n > 3 * (near + 1) and beyond <= 0.002 * whole").select("source", "limit", (F.col("n") / (F.col("near") + 0.5)).alias("excess"))
 
 
-def train(df: DataFrame, id_col: str, text_col: str, limited: DataFrame, source_col: str, refs: list[tuple[str, str]]) -> EndModel:
-    """The model; refs: trusted complete values with their language, for the thresholds.
-
-    Words are counted and limits found over all rows; the contexts of ends are fitted on a share of the rows by a hash
-    of their id, about SAMPLE_ROWS of them at any size.
-    """
-    texts = df.where(F.length(text_col) > 0).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+def train(df: DataFrame, text_col: str, limited: DataFrame, source_col: str, refs: DataFrame) -> StoredModel:
+    """The model of all rows; refs: (lang, ref_text), trusted complete values for the thresholds."""
+    texts = df.where(F.length(text_col) > 0).select(F.col(text_col).alias("text"), F.col(source_col).alias("source"))
 
     def count_words(columns: list, table: np.ndarray) -> None:
         row = Masked([t for t in columns[0] if t])
@@ -211,10 +267,10 @@ def train(df: DataFrame, id_col: str, text_col: str, limited: DataFrame, source_
         table[:-1] += np.bincount(slot, minlength=len(table) - 1).astype(np.int32)
         table[-1] += len(columns[0])
 
-    counted = _sum_tables(texts.select("text"), (1 << DF_BITS) + 1, count_words)
-    total = int(counted[-1])
-    common = counted[:-1] > max(2.0, COMMON * total)
-    picked = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(min(1_000_000, 1_000_000 * SAMPLE_ROWS // max(1, total)))
+    counted = np.zeros((1 << DF_BITS) + PART, np.int32)
+    for batch in _sum_tables(texts.select("text"), (1 << DF_BITS) + 1, count_words).toArrow().to_batches():
+        _unpack(batch, counted)
+    common = counted[: 1 << DF_BITS] > max(2.0, COMMON * int(counted[1 << DF_BITS]))
     shared = df.sparkSession.sparkContext.broadcast(common)
     half = len(ORDERS) * 2 << BITS
 
@@ -223,7 +279,7 @@ def train(df: DataFrame, id_col: str, text_col: str, limited: DataFrame, source_
         row = Masked([t for t, _ in keep])
         row.mask(shared.value)
         cut = np.array([c or MARK.search(t) is not None for t, c in keep])
-        slots, ends, at = row.contexts()
+        slots, ends, at, _ = row.contexts()
         owner = np.searchsorted(row.place[row.text_end], at)
         ends &= ~cut[np.minimum(owner, len(cut) - 1)]
         first, second = table[:half].reshape(len(ORDERS), 2, -1), table[half:].reshape(len(WORD_ORDERS), 2, -1)
@@ -239,19 +295,25 @@ def train(df: DataFrame, id_col: str, text_col: str, limited: DataFrame, source_
             t[0] += np.bincount(s, minlength=t.shape[1]).astype(np.int32)
             t[1] += np.bincount(s[whole], minlength=t.shape[1]).astype(np.int32)
 
-    rows = texts.where(picked).withColumn("limit", F.length("text")).join(limited.drop("excess").withColumn("at_limit", F.lit(True)), ["source", "limit"], "left").select("text", F.coalesce("at_limit", F.lit(False)))
-    tables = _sum_tables(rows, half + (len(WORD_ORDERS) * 2 << BITS), count_contexts)
-    model = EndModel(common, tables[:half].reshape(len(ORDERS), 2, -1), tables[half:].reshape(len(WORD_ORDERS), 2, -1))
-    refs = [(lang, t) for lang, t in refs if not COMPLETE.search(t)]
-    odds = model.log_odds([normal(t) for _, t in refs]) if refs else np.zeros(0)
+    rows = texts.withColumn("limit", F.length("text")).join(limited.drop("excess").withColumn("at_limit", F.lit(True)), ["source", "limit"], "left").select("text", F.coalesce("at_limit", F.lit(False)))
+    counts = materialize(_sum_tables(rows, half + (len(WORD_ORDERS) * 2 << BITS), count_contexts), "ends")
+    model = StoredModel(common, counts.inputFiles())
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = model.load()
+        for batch in batches:
+            pairs = [(lang, t) for lang, t in zip(*(c.to_pylist() for c in batch.columns)) if not COMPLETE.search(t)]
+            odds = end.log_odds([normal(t) for _, t in pairs]) if pairs else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array([lang for lang, _ in pairs], pa.string()), pa.array(odds, pa.float64())], ["lang", "odds"])
+
     by: dict[str, list[float]] = {}
-    for (lang, _), value in zip(refs, odds.tolist()):
-        by.setdefault(lang, []).append(value)
+    for r in refs.mapInArrow(judge, "lang string, odds double").collect():
+        by.setdefault(r.lang, []).append(r.odds)
     model.thresholds = {lang: max(THRESHOLD, sorted(v)[-1 - len(v) // 30] + 0.1) for lang, v in by.items()}
     return model
 
 
-def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang", model: EndModel | None = None, rows: DataFrame | None = None, residue=None) -> DataFrame:
+def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang", model: StoredModel | None = None, rows: DataFrame | None = None, residue=None) -> DataFrame:
     """(id, source, cut, log_odds): for each row whether its text was cut.
 
     A mark of omission at the very end makes a text cut. Null and blank texts are not cut; a null source has no limit.
@@ -263,20 +325,24 @@ def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
     base = require(df, id_col, text_col, source_col, lang_col)
     limited = limits(base, source_col, text_col)
     if model is None:
-        trusted = [(r[0], r[1]) for r in require(refs, "lang", "ref_text").where("ref_text is not null").limit(10_000).collect()]
-        model = train(base, id_col, text_col, limited, source_col, trusted)
+        trusted = require(refs, "lang", "ref_text").where("ref_text is not null").limit(10_000)
+        model = train(base, text_col, limited, source_col, trusted)
     shared = df.sparkSession.sparkContext.broadcast((model, residue))
     judged = (base if rows is None else require(rows, id_col, text_col, source_col, lang_col)).toDF("id", "text", "source", "lang")
     judged = judged.withColumn("limit", F.length("text")).join(limited, ["source", "limit"], "left").select("id", "text", "source", "lang", "excess")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, other = shared.value
+        stored, other = shared.value
+        end = stored.load()
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
                 raw = part.column(1).to_pylist()
                 texts = [normal(t) if t else "" for t in raw]
-                odds = end.log_odds(texts)
+                seen = np.array([t != "" for t in texts], bool)
+                free = part.column(4).is_null().to_numpy(zero_copy_only=False)
+                ended = seen & free & np.array([MARK.search(t) is None for t in texts], bool)
+                odds = end.log_odds(texts, seen, ended)
                 cut = []
                 for whole, t, value, lang, excess in zip(raw, texts, odds.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
                     need = end.thresholds.get(label_language(lang) or "", THRESHOLD)

@@ -153,3 +153,18 @@ def test_truncation(spark):
     cut = [got[r[0]] for r in rows if r[2] == "cut"]
     assert sum(cut) >= 0.8 * len(cut)
     assert truncation.truncated(df.limit(0), refs).count() == 0 and F is not None
+
+
+def test_every_row_is_counted_and_leaves_itself_out(spark, monkeypatch):
+    monkeypatch.setattr(truncation, "SAMPLE_ROWS", 5, raising=False)  # a bound on the counted rows, if there is one
+    rows = [(i, "A boat rests at the quay", "press", "en") for i in range(40)] + [(40, "A lone heron by the quay", "press", "en")]
+    df = spark.createDataFrame(rows, "pair_id bigint, caption string, source string, lang string")
+    refs = spark.createDataFrame([("en", "A boat rests at the quay")], "lang string, ref_text string")
+    base = df.select("pair_id", "caption", "source", "lang")
+    model = truncation.train(base, "caption", truncation.limits(base).limit(0), "source", refs).load()
+    assert all(int(t[1].sum()) == len(rows) for t in model.texts)  # an end of each row, in each order
+    one, other = rows[0][1], rows[40][1]
+    seen = np.ones(2, bool)
+    assert (model.log_odds([one, other], seen, seen) > model.log_odds([one, other])).all()
+    own = model.log_odds([one], seen[:1], ~seen[:1])[0]
+    assert own < model.log_odds([one], seen[:1], seen[:1])[0]
