@@ -1,11 +1,12 @@
 """Problem 1: near-identical captions and pictures among more rows than could be compared two by two.
 
-Captions: DartMinHash. The weight axis of every word and the rank axis are cut into cells; a hash throws one dart into
-each cell under the word's weight, with a place, a rank and a coordinate. The earliest dart of each coordinate is the
-record's signature; two signatures agree in a coordinate with about the weighted Jaccard similarity of the records.
-Bands of coordinates are joined, candidates that a bitmap of their words rules out fall away (losslessly), and the rest
-are compared by their words. Rare words weigh more (the cube of the inverse document frequency, up to FLOOR), so that
-records of one template seldom meet.
+Captions: a prefix join, which is lossless. The words of a record are put in order, rarest first. Two records whose
+share of common words is at least the given one have their rarest common word early in both orders: at most so many words
+of either may stand before it as the other lacks, and how many that can be follows from the two sizes. So a record is keyed
+by each early word and each class of sizes a partner may have; records that meet are tested by a bitmap of their words
+(losslessly) and compared by their words. Words that are common stand late and seldom become keys, unless the records agree
+in them. DartMinHash signatures estimate weighted similarities; they don't choose the pairs, since records that share
+common words only seldom agree in them.
 
 Pictures: two 64-bit hashes within 5 bits leave at least BLOCKS - 5 of BLOCKS parts of the hash equal, so the pairs of
 equal parts are a lossless join key; sampled signatures would lose pairs at the limit, which is why darts aren't used.
@@ -26,9 +27,8 @@ from .canon import repair
 from .common import attach_group, materialize, require
 
 MIN_WORDS, SIMILARITY = 8, 0.7
-BAND_ROWS, BANDS = 3, 16
 DF_BITS = 18  # the table of document frequencies has 2**DF_BITS counts at any size of the input
-FLOOR = 1e-4  # words in a smaller share of records weigh no more
+SALT_ROWS = 65_536  # records with a word that are kept together under its keys
 BLOCK = 64
 BLOCKS, EQUAL = 7, 2  # parts of a picture hash, and how many of them are surely equal within BLOCKS - EQUAL bits
 CELL = 0.25  # width of a cell on the weight axis; a full weight is 1
@@ -119,55 +119,83 @@ def caption_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return require(df, id_col, text_col).mapInArrow(run, "id bigint, key_a bigint, key_b bigint, words array<bigint>")
 
 
-def document_frequencies(sets: DataFrame) -> np.ndarray:
-    """Share of the records that hold a word of each hash bucket, over all records; 2**DF_BITS numbers."""
+def word_counts(sets: DataFrame) -> np.ndarray:
+    """How many records hold a word of each hash bucket, over all records; 2**DF_BITS numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros(1 << DF_BITS, np.int64), 0
+        counts = np.zeros(1 << DF_BITS, np.int64)
         for batch in batches:
             flat = batch.column(0).flatten().to_numpy().view(np.uint64)
             counts += np.bincount((flat >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=1 << DF_BITS)
-            rows += batch.num_rows
         used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(counts[used], rows))], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["bucket", "n"])
 
     found = sets.select("words").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    bucket, n = (found.column(c).to_numpy() for c in ("bucket", "n"))
-    counts = np.zeros(1 << DF_BITS)
-    counts[bucket[bucket >= 0]] = n[bucket >= 0]
-    rows = max(1, int(n[bucket < 0].sum()))
-    typical = counts.mean() / rows  # what words that share the bucket add
-    return np.maximum(counts / rows - typical, 0).astype(np.float32)
+    counts = np.zeros(1 << DF_BITS, np.int64)
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
+    return counts
 
 
-def word_weights(shares: np.ndarray, words: np.ndarray) -> np.ndarray:
-    share = np.maximum(shares[(words.view(np.uint64) >> np.uint64(64 - DF_BITS)).astype(np.int64)], FLOOR)
-    return np.maximum((np.log1p(1 / share) / np.log1p(1 / FLOOR)) ** 3, 0.01)
+def _size_classes() -> np.ndarray:
+    """Where the classes of sizes begin: each a quarter more than the one before, as narrower ones make more keys."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] + 1, int(out[-1] * 1.25)))
+    return np.array(out)
 
 
-def band_rows(sets: DataFrame, shares) -> DataFrame:
-    """(band, id, map, n): one row for each band of a record's signature; map has a bit for each word, n counts words."""
-    k = BANDS * BAND_ROWS
+_CLASSES = _size_classes()
+
+
+def prefix_keys(ids: np.ndarray, sizes: np.ndarray, flat: np.ndarray, counts: np.ndarray, similarity: float, larger: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(record, key): the keys under which each record meets records of larger classes of sizes, or as the larger one.
+
+    Two sets with the given share of common words have a key in common, one as the smaller and one as the larger; in one
+    class each is both. counts: of the words' buckets; any order of the words that is the same for all records is right.
+    """
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    count = counts[(flat >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+    order = np.lexsort((flat, count, doc))
+    word, count = flat[order], count[order]
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    n = sizes[doc]
+    # With `place` words before it that the other lacks, at most n - place are common: s / (1 + s) * (n + m) or more.
+    most = np.floor((n - place) * (1 + similarity) / similarity - n + 1e-6).astype(np.int64)
+    least = np.ceil(similarity * n - 1e-6).astype(np.int64)
+    kept = np.flatnonzero((most >= least) & (count > 1))  # a word of one record has no partner
+    word, count, doc, n = word[kept], count[kept], doc[kept], n[kept]
+    own, low, high = (np.searchsorted(_CLASSES, x, "right") - 1 for x in (n, np.maximum(least[kept], 1), most[kept]))
+    low, high = (low, np.minimum(high, own)) if larger else (np.maximum(low, own), high)
+    # The records of a hot word are spread by a salt on one side, and meet each salt's on the other.
+    salts = count // SALT_ROWS + 1
+    times = np.maximum(high - low + 1, 0) * (1 if larger else salts)
+    at = np.repeat(np.arange(len(word)), times)
+    index = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+    salt = mix(ids.astype(np.int64).view(np.uint64))[doc[at]] % salts[at].astype(np.uint64) if larger else (index % salts[at]).astype(np.uint64)
+    other = low[at] + (index if larger else index // salts[at])
+    pair = np.minimum(own[at], other) * 4096 + np.maximum(own[at], other)
+    key = mix(mix(word[at] + pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + salt)
+    return doc[at], key
+
+
+def prefix_rows(sets: DataFrame, counts, similarity: float, larger: bool) -> DataFrame:
+    """(key, id, map, n): a row for each of prefix_keys; map has a bit for each word, n counts words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shares.value
+        table = counts.value
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                words = part.column(1)
-                n = words.value_lengths().to_numpy()
-                flat = words.flatten().to_numpy()
-                doc = np.repeat(np.arange(len(n)), n)
-                sig = dart_signature(doc, flat.view(np.uint64), word_weights(table, flat), len(n), k).reshape(len(n), BANDS, BAND_ROWS)
-                key = np.zeros((len(n), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
-                for r in range(BAND_ROWS):
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, r])
+                words, ids = part.column(1), part.column(0).to_numpy()
+                n = words.value_lengths().to_numpy().astype(np.int64)
+                flat = words.flatten().to_numpy().view(np.uint64)
                 bits = np.zeros(len(n), np.uint64)
-                np.bitwise_or.at(bits, doc, np.uint64(1) << (flat.view(np.uint64) & np.uint64(63)))
-                rest = [np.repeat(x, BANDS) for x in (part.column(0).to_numpy(), bits.view(np.int64), n.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), *map(pa.array, rest)], ["band", "id", "map", "n"])
+                np.bitwise_or.at(bits, np.repeat(np.arange(len(n)), n), np.uint64(1) << (flat & np.uint64(63)))
+                doc, key = prefix_keys(ids, n, flat, table, similarity, larger)
+                rest = (x[doc] for x in (ids, bits.view(np.int64), n.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *map(pa.array, rest)], ["key", "id", "map", "n"])
 
-    return sets.select("id", "words").mapInArrow(run, "band bigint, id bigint, map bigint, n int")
+    return sets.select("id", "words").mapInArrow(run, "key bigint, id bigint, map bigint, n int")
 
 
 def block_pairs(rows: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
@@ -183,11 +211,12 @@ def block_pairs(rows: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -
 
 def near_sets(sets: DataFrame, similarity: float) -> DataFrame:
     """(id_a, id_b): sets whose words in both are at least the given share of the words in either."""
-    shares = sets.sparkSession.sparkContext.broadcast(document_frequencies(sets))
-    met = block_pairs(band_rows(sets, shares), ["band"], ("map", "n"))
+    counts = sets.sparkSession.sparkContext.broadcast(word_counts(sets))
+    a, b = (prefix_rows(sets, counts, similarity, larger).toDF("key", *[f"{c}_{side}" for c in ("id", "map", "n")]) for larger, side in ((False, "a"), (True, "b")))
+    met = a.join(b, "key").where("id_a <> id_b")
     # Words in only one of the two are at most this share of all; each bit in only one map is such a word.
     possible = F.bit_count(F.col("map_a").bitwiseXOR(F.col("map_b"))) <= (1 - similarity) / (1 + similarity) * (F.col("n_a") + F.col("n_b")) + 1e-6
-    candidates = met.where(possible).select("id_a", "id_b").distinct()
+    candidates = met.where(possible).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
     words = sets.select("id", "words")
     joined = candidates.join(words.withColumnsRenamed({"id": "id_a", "words": "words_a"}), "id_a").join(words.withColumnsRenamed({"id": "id_b", "words": "words_b"}), "id_b")
     both = F.size(F.array_intersect("words_a", "words_b"))

@@ -129,3 +129,38 @@ def test_spans_against_brute_force(spark):
     share = {r.doc_id: r for r in spans.shared_share(rows).collect()}
     assert len(share) == len(texts) and all(0 <= r.share <= 1 for r in share.values()) and share[0].share > 0.9 and share[62].share == 0.0
     assert spans.shared_spans(rows.limit(0)).count() == 0 and spans.shared_share(rows.limit(0)).count() == 0
+
+
+def pairs_by_force(texts):
+    sets = [neardup.words_of(t) for t in texts]
+    return {(i, j) for j in range(len(texts)) for i in range(j) if jaccard(sets[i], sets[j]) >= 0.7}
+
+
+def test_near_captions_that_differ_in_rare_words(spark):
+    rng = random.Random(8)
+    common = [f"common{i}" for i in range(200)]
+    texts = [" ".join(rng.sample(common, 10)) for _ in range(900)]
+    for k in range(60):  # ten common words and a rare word each; 16 common words, and one rare shared, two different
+        base = rng.sample(common, 10)
+        texts += [" ".join([*base, f"rare{k}x{i}"]) for i in range(2)]
+        base = [*rng.sample(common, 16), f"both{k}"]
+        texts += [" ".join([*base, f"own{k}x{i}", f"other{k}x{i}"]) for i in range(2)]
+    for k in range(40):  # a template that fills a part of the rows, and longer texts of unlike sizes
+        texts.append("a photo of the old {} in a small town by the river seen from above".format(" ".join(f"t{k}{c}" for c in "abc"[: k % 4])))
+        base = rng.sample(common, 60)
+        texts += [" ".join(base), " ".join(base[: rng.randrange(38, 46)])]
+    rows = spark.createDataFrame(list(enumerate(texts)), "pair_id bigint, caption string").repartition(3)
+    got = [(r.id_a, r.id_b) for r in neardup.near_captions(rows).collect()]
+    assert len(got) == len(set(got)) and set(got) == pairs_by_force(texts)
+
+
+def test_prefix_keys_of_hot_words(monkeypatch):
+    monkeypatch.setattr(neardup, "SALT_ROWS", 7, raising=False)
+    words = [neardup.hash_words({f"w{j}" for j in range(10)} | {f"own{i}"}) for i in range(30)]
+    sizes, flat, ids = np.array([len(w) for w in words]), np.concatenate(words), np.arange(30)
+    counts = np.bincount((flat >> np.uint64(64 - neardup.DF_BITS)).astype(np.int64), minlength=1 << neardup.DF_BITS)
+    met = [{}, {}]
+    for larger in (False, True):
+        for doc, key in zip(*neardup.prefix_keys(ids, sizes, flat, counts, 0.7, larger)):
+            met[larger].setdefault(key, set()).add(doc)
+    assert {(a, b) for key, left in met[0].items() for a in left for b in met[1].get(key, ())} == {(a, b) for a in range(30) for b in range(30)}
