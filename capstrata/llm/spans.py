@@ -79,10 +79,11 @@ def cut_points(codes: np.ndarray, starts: np.ndarray, window: int, context: int
     return gear, np.flatnonzero((best == order) & (order != worst))
 
 
-def chunk_rows(ids: np.ndarray, texts: list[str], window: int, context: int = CONTEXT):
+def chunk_rows(ids: np.ndarray, texts: list[str], window: int, context: int = CONTEXT, repeated: bool = False):
     """(id, digest_hi, digest_lo, start, end) of each chunk; start and end count the characters of its own text.
 
-    A chunk's digest also covers the `context` - 1 characters before it. Equal chunks of one text come once.
+    A chunk's digest also covers the `context` - 1 characters before it. Equal chunks of one text come once, or,
+    if repeated, each.
     """
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.array([len(t) for t in texts])
@@ -103,12 +104,13 @@ def chunk_rows(ids: np.ndarray, texts: list[str], window: int, context: int = CO
     size = (end - low).astype(np.uint64)
     hi, lo = _mix(hi ^ size), _mix(lo + size)
     _, first = np.unique(np.stack([doc.astype(np.uint64), hi, lo]).T.copy().view("u8,u8,u8").ravel(), return_index=True) if len(doc) else (None, np.zeros(0, int))
+    first = np.arange(len(doc)) if repeated else first
     first.sort()
     doc, begin, end = doc[first], begin[first] - starts[doc[first]], end[first] - starts[doc[first]]
     return ids[doc], hi[first].view(np.int64), lo[first].view(np.int64), begin.astype(np.int32), end.astype(np.int32)
 
 
-def document_chunks(df: DataFrame, min_chars: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def document_chunks(df: DataFrame, min_chars: int, id_col: str = "doc_id", text_col: str = "text", repeated: bool = False) -> DataFrame:
     """(id, hi, lo, start, end): the chunks of all texts of at least min_chars characters."""
     source = require(df, id_col, text_col).where(F.length(text_col) >= min_chars)
     window = window_for(min_chars)
@@ -122,7 +124,7 @@ def document_chunks(df: DataFrame, min_chars: int, id_col: str = "doc_id", text_
                 while to < len(texts) and (to == at or size + len(texts[to]) <= BATCH_CHARS):
                     size += len(texts[to])
                     to += 1
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in chunk_rows(ids[at:to], texts[at:to], window)], ["id", "hi", "lo", "start", "end"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in chunk_rows(ids[at:to], texts[at:to], window, repeated=repeated)], ["id", "hi", "lo", "start", "end"])
                 at = to
 
     return source.mapInArrow(run, "id bigint, hi bigint, lo bigint, start int, end int")
@@ -204,16 +206,71 @@ def _compare(min_chars: int):
     return run
 
 
+def _extend(min_chars: int):
+    """(id, start, end) of both texts: each chunk match drawn out to its maximal common run, if that is long enough."""
+
+    def common(a: np.ndarray, b: np.ndarray) -> int:
+        """How many characters are equal from the start of both."""
+        n, at, step = min(len(a), len(b)), 0, 64
+        while at < n:
+            differ = np.flatnonzero(a[at : min(at + step, n)] != b[at : min(at + step, n)])
+            if len(differ):
+                return at + int(differ[0])
+            at, step = at + step, step * 4
+        return n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: set[tuple[int, int, int]] = set()
+            columns = [batch.column(c).to_pylist() for c in ("id_a", "id_b", "matches", "text_a", "text_b")]
+            for id_a, id_b, matches, text_a, text_b in zip(*columns):
+                a, b = (np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in (text_a, text_b))
+                done: dict[int, int] = {}  # by shift, how far its last run goes
+                for m in sorted(matches, key=lambda m: m["start_a"]):
+                    i, j = m["start_a"], m["start_b"]
+                    if i < done.get(i - j, 0):
+                        continue
+                    left, right = common(a[:i][::-1], b[:j][::-1]), common(a[i:], b[j:])
+                    done[i - j] = i + right
+                    if left + right >= min_chars:
+                        out |= {(id_a, i - left, i + right), (id_b, j - left, j + right)}
+            ids, starts, ends = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], ["id", "start", "end"])
+
+    return run
+
+
+def shared_passages(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, start, end): each maximal run of min_chars characters or more that a text has in common with another text.
+
+    All occurrences come out, those repeated inside one text too; runs with different texts may overlap. Rows with the
+    same id count as one text.
+    """
+    shared = materialize(shared_chunks(document_chunks(df, min_chars, id_col, text_col, repeated=True)), "occurrences")
+    members = shared.withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
+    blocks = members.groupBy("hi", "lo", "block").agg(F.collect_list(F.struct("id", "start")).alias("rows"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    matches = (
+        a.join(b, (F.col("a.hi") == F.col("b.hi")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.block") <= F.col("b.block")))
+        .select(F.explode("a.rows").alias("x"), F.col("b.rows").alias("ys"))
+        .select("x", F.explode("ys").alias("y"))
+        .where("x.id < y.id")
+        .groupBy(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
+        .agg(F.collect_set(F.struct(F.col("x.start").alias("start_a"), F.col("y.start").alias("start_b"))).alias("matches"))
+    )
+    texts = require(df, id_col, text_col).toDF("id", "text")
+    both = matches.join(texts.withColumnsRenamed({"id": "id_a", "text": "text_a"}), "id_a").join(texts.withColumnsRenamed({"id": "id_b", "text": "text_b"}), "id_b")
+    return both.mapInArrow(_extend(min_chars), "id bigint, start int, end int").distinct()
+
+
 def shared_share(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, n_chars, shared_chars, share): how much of each text lies in chunks that stand in other texts too.
+    """(id_col, n_chars, shared_chars, share): how much of each text lies in runs of min_chars or more that stand in other texts too.
 
-    Every row of the table comes out; null and empty texts have 0 characters and a share of 0.0. Chunks repeated inside
-    one text count once.
+    Every row of the table comes out; null and empty texts have 0 characters and a share of 0.0. Each character counts
+    once, and a passage repeated inside one text counts each time.
     """
-    shared = shared_chunks(document_chunks(df, min_chars, id_col, text_col))
-    order = Window.partitionBy("id").orderBy("start")
-    # The digest covers the CONTEXT - 1 characters before the chunk as well; overlaps with earlier chunks count once.
-    spans = shared.select("id", F.col("end"), (F.col("start") - (CONTEXT - 1)).alias("start"))
+    spans = shared_passages(df, min_chars, id_col, text_col)
+    order = Window.partitionBy("id").orderBy("start", "end")
     spans = spans.withColumn("before", F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     sums = spans.groupBy("id").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "before"))).alias("shared_chars"))
     rows = require(df, id_col, text_col).select(F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).cast("bigint").alias("n_chars"))

@@ -164,3 +164,21 @@ def test_prefix_keys_of_hot_words(monkeypatch):
         for doc, key in zip(*neardup.prefix_keys(ids, sizes, flat, counts, 0.7, larger)):
             met[larger].setdefault(key, set()).add(doc)
     assert {(a, b) for key, left in met[0].items() for a in left for b in met[1].get(key, ())} == {(a, b) for a in range(30) for b in range(30)}
+
+
+def test_shared_share_against_brute_force(spark):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefghij klmnopé京") for _ in range(n))
+    runs = [text(n) for n in (100, 120, 140, 159, 165, 170, 200, 400)]
+    texts = [text(rng.randrange(20, 300)) + runs[i % 8] + text(rng.randrange(20, 300)) for i in range(64)]
+    texts += [text(50) + "|".join([runs[7]] * 5) + text(50), runs[7]]
+    grams = [{t[i : i + 160] for i in range(len(t) - 159)} for t in texts]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r.shared_chars for r in spans.shared_share(rows).collect()}
+    for k, t in enumerate(texts):
+        others = set().union(*(g for j, g in enumerate(grams) if j != k))
+        marked = set()
+        for i in range(len(t) - 159):
+            if t[i : i + 160] in others:
+                marked.update(range(i, i + 160))
+        assert got[k] == len(marked), k
