@@ -3,7 +3,7 @@
 A gear hash rolls over the characters (each hash depends on the last CONTEXT of them). A chunk ends where the hash is
 the least of some WINDOW hashes in a row, so that cuts depend on the text nearby alone and an insertion moves only the
 cuts next to it. Two neighbouring cuts are at most WINDOW characters apart; therefore two equal runs of
-CONTEXT - 1 + 2 * WINDOW - 1 characters or more (160 by default) hold at least one whole equal chunk together with its
+CONTEXT - 1 + 2 * WINDOW characters or more (159, so 160 by default) hold at least one whole equal chunk together with its
 context. Chunks are grouped by a 128-bit digest of context and chunk; pairs of documents in a group are joined chunk by
 chunk, and runs that the chunks alone don't prove long enough are compared in the texts.
 """
@@ -28,7 +28,7 @@ def window_for(min_chars: int, context: int = CONTEXT) -> int:
     """The largest window that still guarantees a whole chunk inside each run of min_chars."""
     if min_chars < context + 3:
         raise ValueError(f"spans need at least {context + 3} characters")
-    return (min_chars - context + 2) // 2
+    return (min_chars - context + 1) // 2
 
 
 def _mix(x: np.ndarray) -> np.ndarray:

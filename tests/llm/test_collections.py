@@ -182,3 +182,24 @@ def test_shared_share_against_brute_force(spark):
             if t[i : i + 160] in others:
                 marked.update(range(i, i + 160))
         assert got[k] == len(marked), k
+
+
+def test_every_run_holds_a_whole_chunk():
+    rng = np.random.default_rng(3)
+    texts, size = [], 160
+    while len(texts) < 400:  # runs whose least hash stands in the middle, where either neighbour may be decided outside
+        run = rng.integers(97, 123, (4000, size)).astype(np.uint32)
+        order = spans.cut_points(run.ravel(), np.arange(len(run)) * size, 1)[0].reshape(run.shape)
+        for context in (spans.CONTEXT,):
+            h = np.zeros((len(run), size - context + 1), np.uint64)
+            for back in range(context):
+                h += order[:, context - 1 - back : size - back] << np.uint64(back)
+            h ^= h >> np.uint64(29)
+            texts += ["".join(map(chr, r)) for r in run[h.argmin(1) == (size - context) // 2]]
+    around = lambda: "".join(map(chr, rng.integers(97, 123, 200)))
+    pairs = [around() + t + around() for t in texts for _ in range(2)]
+    ids, hi, lo, _, _ = spans.chunk_rows(np.arange(len(pairs)), pairs, spans.window_for(size))
+    found = {}
+    for i, key in zip(ids.tolist(), zip(hi.tolist(), lo.tolist())):
+        found.setdefault(i, set()).add(key)
+    assert all(found[2 * k] & found[2 * k + 1] for k in range(len(texts)))
