@@ -1,11 +1,14 @@
 """Problem 2: values cut by a field limit or in transfer, and how often each source cuts.
 
 A backward character n-gram model: for the last k characters before a place (words that are rare in the corpus stand as
-one mark each), how often does a text end there, and how often does it go on? A second one does the same for the letters
-before the end of a rare word. Both come from all rows; ends at a limit or with a mark of omission don't count as ends.
-The sums lie in the shared folder and workers read them there; the driver never holds them. A value's
-log-odds of going on against ending, for its final context, is compared with a threshold for each language, validated
-on trusted complete values; a value as long as the limit of its source needs less.
+one mark each), how often does a text end there, and how often does it go on? Further tables do the same for the letters
+before the end of a rare word, for the first letters of a word, and for the last words of a text of few words. All come
+from all different values of all sources; ends at a limit or with a mark of omission don't count as ends. The sums lie in
+the shared folder and workers read them there; the driver never holds them. A value's log-odds of going on against
+ending, for its final context, is compared with a threshold for each language, validated on trusted complete values
+(labels and sentences), and moved for each source by how seldom its values end without a closing sign. A length at the
+limit of the source, in characters or bytes, and a mark of omission add to the log-odds. Where the words of a value stand
+in no usual order, its end says nothing.
 """
 
 from __future__ import annotations
@@ -31,12 +34,20 @@ DF_BITS, BITS = 20, 19
 COMMON = 2e-4  # a word in a larger share of rows is common
 TAIL = 110
 PART = 2048  # counts of a table that travel together
-THRESHOLD, AT_LIMIT = 3.0, 6.0  # log-odds; what a length at the limit takes off
-SUPPORT = 10.0  # how many times the shorter context counts in the longer one
+SHORT_WORDS, SHORT_ORDERS = 9, (1, 2)  # words from the start of a text without other signs, and how many of the last ones
+TABLES = len(ORDERS) + len(WORD_ORDERS) + len(SHORT_ORDERS) + 1  # the last one is of the first letters of words
+THRESHOLD, AT_LIMIT, MARKED = 3.8, 8.0, 6.0  # log-odds; the most that a length at the limit adds; what a mark adds
+CLOSING = 4.0  # what a closing sign takes off: a cut falls behind one by chance only
+SUPPORT, SHORT_SUPPORT = 10.0, 3.0  # how many times the shorter context counts in the longer one
+LONG = 16  # from this order on one ending isn't counted: it may be a changed copy of the same cut value
+STRANGE = 2  # so many places within a value where nobody else goes on like that: the order of its words is unusual
+STRANGE_ORDER = 3  # which of ORDERS tells it
+SMALL = 100_000  # rows of a table by source that is broadcast; a larger one is joined in a shuffle
 MARK = re.compile(r"(?:…|\.\.\.|\[(?:more|…|\.\.\.)\]|\((?:more|…)\)|(?:read|see) more)\s*$", re.I)
 
-#: A value that ends so is complete, whatever its length; a mark of omission is looked for first.
-COMPLETE = re.compile(r"[.!?\u3002\uff01\uff1f\uff0e)\]}>\"\u201d\u00bb]$")
+#: Fixed value: what closes a sentence or an addition. How often a source's values end otherwise is counted with it.
+CLOSED = r"[.!?\u3002\uff01\uff1f\uff0e)\]}>\"\u201d\u00bb]\s*$"
+_closed = re.compile(CLOSED)
 CHUNK = 8000  # rows looked at together
 
 _bmp = list(map(chr, range(0x10000)))
@@ -83,6 +94,7 @@ class Masked:
         power, inverse = _powers(n)
         total = np.zeros(n, np.uint64)
         np.cumsum(mix(self.lower) * power[:-1], out=total[1:])
+        self.total = total
         self.hash = mix((total[self.end] - total[self.begin]) * inverse[self.begin])
         self.text_end = np.flatnonzero(joined == 1)[1:]  # the place after each text
         self.owner = np.searchsorted(self.text_end, self.begin)
@@ -100,6 +112,40 @@ class Masked:
         self.masked = masked[kept]
         self.place = np.cumsum(kept) - 1  # of each character in the masked row
 
+    def final(self) -> np.ndarray:
+        """Of each word, whether its text ends with it."""
+        return self.codes[self.end] == 1
+
+    def prefixes(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Slots of all first letters of the given words, whether they are the whole word, and which word it is."""
+        begin, size = self.begin[words], self.end[words] - self.begin[words]
+        of = np.repeat(np.arange(len(words)), size)
+        count = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + 1
+        first = begin[of]
+        power, inverse = _powers(len(self.total))
+        h = mix((self.total[first + count] - self.total[first]) * inverse[first])
+        return (h >> np.uint64(64 - BITS)).astype(np.int64), count == size[of], of
+
+    def small(self) -> np.ndarray:
+        """Of each word, whether it begins with a small letter, or one without case."""
+        first = self.codes[self.begin]
+        return ~_upper[first] & ~_digit[first]
+
+    def short_contexts(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The words that stand among the first SHORT_WORDS of a text with nothing but spaces before, and for each of
+        SHORT_ORDERS the slots of their number with the last words up to them; rare words count as one."""
+        start = np.concatenate([[0], self.text_end[:-1]])
+        number = np.arange(len(self.begin)) - np.searchsorted(self.begin, start)[self.owner] + 1
+        signs = np.cumsum(~_wordy[self.codes] & (self.codes != 32) & (self.codes != 1))
+        words = np.flatnonzero((number <= SHORT_WORDS) & (signs[self.end - 1] == signs[start[self.owner]]))
+        seen = np.where(self.rare, np.uint64(7), self.hash)
+        out, h = [], mix(number[words].astype(np.uint64) + np.uint64(11))
+        for back in range(max(SHORT_ORDERS)):
+            h = mix(h * np.uint64(31) + np.where(number[words] > back, seen[np.maximum(words - back, 0)], np.uint64(3)))
+            if back + 1 in SHORT_ORDERS:
+                out.append((h >> np.uint64(64 - BITS)).astype(np.int64))
+        return words, out
+
     def contexts(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
         """Slots of the contexts before each place where a word or a sign ends, whether a text ends there, the place, and
         how many characters of the text stand up to it."""
@@ -135,22 +181,25 @@ class Masked:
 class EndModel:
     """Counts (all, ending) of contexts, and the backed-off chance that a text or a word ends after them."""
 
-    def __init__(self, common: np.ndarray, texts: np.ndarray, words: np.ndarray, thresholds: dict[str, float] | None = None):
-        self.common, self.texts, self.words = common, texts, words
-        self.thresholds = thresholds or {}
+    def __init__(self, common: np.ndarray, counts: np.ndarray, thresholds: dict[str, float] | None = None):
+        self.common, self.thresholds = common, thresholds or {}
+        tables = counts.reshape(TABLES, 2, -1)
+        self.texts, self.words, self.short, self.first = np.split(tables, np.cumsum([len(ORDERS), len(WORD_ORDERS), len(SHORT_ORDERS)]))
 
     @staticmethod
-    def _chance(tables: np.ndarray, slots: list[np.ndarray], floor: float, own: list[tuple] | None = None) -> np.ndarray:
-        """own: for each table what the value itself added to both counts, which must not speak for it."""
+    def _chance(tables: np.ndarray, slots: list[np.ndarray], floor: float, support: float, own: list[tuple] | None = None, less: tuple[int, ...] = ()) -> np.ndarray:
+        """own: for each table what the value itself added to both counts, which must not speak for it. less: what is
+        taken off the endings of each table besides."""
         p = np.full(len(slots[0]), floor)
-        for table, slot, (seen, ended) in zip(tables, slots, own or [(0, 0)] * len(slots)):
-            p = (np.maximum(table[1][slot] - ended, 0) + SUPPORT * p) / (np.maximum(table[0][slot] - seen, 0) + SUPPORT)
+        for table, slot, (seen, ended), off in zip(tables, slots, own or [(0, 0)] * len(slots), less or [0] * len(slots)):
+            p = (np.maximum(table[1][slot] - ended - off, 0) + support * p) / (np.maximum(table[0][slot] - seen, 0) + support)
         return np.maximum(p, 1e-9)
 
-    def log_odds(self, values: list[str], seen: np.ndarray | None = None, ended: np.ndarray | None = None) -> np.ndarray:
+    def log_odds(self, values: list[str], seen: np.ndarray | None = None, ended: np.ndarray | None = None, share: np.ndarray | None = None) -> np.ndarray:
         """For each value, the log-odds of its final context that the text was to go on.
 
-        seen, ended: whether the value is among the counted texts, and whether its end is among the counted ends.
+        seen, ended: whether the value is among the counted texts, and whether its end is among the counted ends. share:
+        how many times as often as elsewhere the value's source has ends of its kind.
         """
         tails, whole = [], np.zeros(len(values), bool)
         for i, v in enumerate(values):
@@ -160,26 +209,41 @@ class EndModel:
         row = Masked(tails)
         row.mask(self.common)
         slots, ends, at, before = row.contexts()
+        of = np.searchsorted(row.place[row.text_end], at)
         final = np.flatnonzero(ends)
         out = np.zeros(len(values))
-        owner = np.searchsorted(row.place[row.text_end], at[final])
-        # A context that reaches beyond the tail of a longer value isn't the one that was counted.
-        reached = [whole[owner] | (k <= before[final]) for k in ORDERS]
+        owner = of[final]
         none = np.zeros(len(values), bool)
         seen, ended = (none if x is None else x for x in (seen, ended))
-        own = [((r & seen[owner]).astype(np.int32), (r & ended[owner]).astype(np.int32)) for r in reached]
-        p = self._chance(self.texts, [s[final] for s in slots], 0.003, own)
-        odds = np.log1p(-np.minimum(p, 1 - 1e-6)) - np.log(p)
-        known = self.texts[1][0][slots[1][final]] - own[1][0] >= 3  # a final context that was never seen says nothing
-        out[owner] = np.where(known, odds, 0.0)
-        # The last word, where it is a rare one: does it end there, or in the middle? No last word is counted.
-        last = np.flatnonzero(row.rare & (row.codes[row.end] == 1))
+        # A context that reaches beyond the tail of a longer value isn't the one that was counted.
+        own = [((r & seen[owner]).astype(np.int32), (r & ended[owner]).astype(np.int32)) for r in (whole[owner] | (k <= before[final]) for k in ORDERS)]
+        p = np.ones(len(values))
+        p[owner] = self._chance(self.texts, [s[final] for s in slots], 0.003, SUPPORT, own, tuple(int(k >= LONG) for k in ORDERS))
+        words, short = row.short_contexts()
+        last = np.flatnonzero(row.final()[words] & whole[row.owner[words]])
+        who = row.owner[words[last]]
+        own = [(seen[who].astype(np.int32), ended[who].astype(np.int32))] * len(short)
         if len(last):
-            begin, end = row.begin[last], row.end[last]
-            w = self._chance(self.words, row.word_contexts(begin, end), 0.2)
-            letters = ~_digit[row.codes[end - 1]]
-            out[row.owner[last]] += np.where(letters, np.maximum(np.log(0.35) - np.log(w), 0.0), 0.0)
-        return out
+            p[who] = np.maximum(p[who], self._chance(self.short, [s[last] for s in short], 0.003, SHORT_SUPPORT, own))
+        p = np.minimum(p * (1.0 if share is None else share), 1 - 1e-6)
+        out[owner] = (np.log1p(-p) - np.log(p))[owner]
+        # The last word, where it is a rare one: does it end there, or in the middle? No last word is counted.
+        last = np.flatnonzero(row.rare & row.final())
+        small = row.small()[last]
+        names, who = last[~small], row.owner[last]
+        if len(names):
+            w = self._chance(self.words, row.word_contexts(row.begin[names], row.end[names]), 0.2, SUPPORT)
+            letters = ~_digit[row.codes[row.end[names] - 1]]
+            out[who[~small]] += np.where(letters, np.maximum(np.log(0.35) - np.log(w), 0.0), 0.0)
+        if small.any():
+            slot = (row.hash[last[small]] >> np.uint64(64 - BITS)).astype(np.int64)
+            begun, done = (self.first[0][k][slot].astype(float) for k in (0, 1))
+            out[who[small]] = np.maximum(out[who[small]], np.log((np.maximum(begun - done, 0) + 0.5) / (done + 0.5)))
+        # Places within the value that no other value has: where there are several, its words were moved about.
+        usual = self.texts[STRANGE_ORDER][0][slots[STRANGE_ORDER]] - seen[np.minimum(of, len(values) - 1)] > 1
+        strange = ~usual & ~ends & (whole[np.minimum(of, len(values) - 1)] | (before >= ORDERS[STRANGE_ORDER]))
+        moved = np.bincount(of[strange], minlength=len(values))[: len(values)] >= STRANGE
+        return np.where(moved, np.minimum(out, 0.0), out)
 
 
 class StoredModel:
@@ -192,14 +256,13 @@ class StoredModel:
 
     def load(self) -> EndModel:
         if StoredModel._last is None or StoredModel._last[0] != self.files:
-            counts = np.zeros((len(ORDERS) + len(WORD_ORDERS)) * 2 << BITS, np.int32)
+            counts = np.zeros(TABLES * 2 << BITS, np.int32)
             for name in self.files:
                 fs, path = pafs.FileSystem.from_uri(name)
                 with fs.open_input_file(path) as f:
                     for batch in pq.ParquetFile(f).iter_batches(256):
                         _unpack(batch, counts)
-            half = len(ORDERS) * 2 << BITS
-            StoredModel._last = self.files, EndModel(self.common, counts[:half].reshape(len(ORDERS), 2, -1), counts[half:].reshape(len(WORD_ORDERS), 2, -1))
+            StoredModel._last = self.files, EndModel(self.common, counts)
         model = StoredModel._last[1]
         model.thresholds = self.thresholds
         return model
@@ -247,64 +310,111 @@ def _sum_tables(texts: DataFrame, shape: int, fill: Callable[[list, np.ndarray],
     return texts.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind)
 
 
-def limits(df: DataFrame, source_col: str = "source", text_col: str = "caption") -> DataFrame:
-    """(source, limit, excess): lengths at which many texts of a source end and beyond which hardly any goes."""
-    sizes = require(df, source_col, text_col).where(F.col(text_col).isNotNull()).groupBy(F.col(source_col).alias("source"), F.length(text_col).alias("limit")).agg(F.count(F.lit(1)).alias("n"))
-    by = Window.partitionBy("source").orderBy("limit")
-    near = F.coalesce(F.sum("n").over(by.rangeBetween(-10, -1)), F.lit(0)) / 10
-    beyond, whole = F.coalesce(F.sum("n").over(by.rangeBetween(1, Window.unboundedFollowing)), F.lit(0)), F.sum("n").over(Window.partitionBy("source"))
-    marked = sizes.withColumn("near", near).withColumn("beyond", beyond).withColumn("whole", whole)
-    return marked.where("n >= 8 and n > 3 * (near + 1) and beyond <= 0.002 * whole").select("source", "limit", (F.col("n") / (F.col("near") + 0.5)).alias("excess"))
-
-
-def train(df: DataFrame, text_col: str, limited: DataFrame, source_col: str, refs: DataFrame) -> StoredModel:
-    """The model of all rows; refs: (lang, ref_text), trusted complete values for the thresholds."""
+def limits(df: DataFrame, source_col: str = "source", text_col: str = "caption", unit: str = "characters") -> DataFrame:
+    """(source, limit, excess): lengths at which many texts of a source end without a closing sign, and beyond which
+    hardly any goes. unit: characters or bytes; a limit of bytes also cuts some bytes short of it, before a longer character.
+    """
+    if unit not in ("characters", "bytes"):
+        raise ValueError(f"unknown unit: {unit}")
+    spare = 0 if unit == "characters" else 3
+    size = F.length(text_col) if unit == "characters" else F.octet_length(text_col)
+    sizes = require(df, source_col, text_col).where(F.col(text_col).isNotNull()).groupBy(F.col(source_col).alias("source"), size.alias("size")).agg(F.count_if(~F.col(text_col).rlike(CLOSED)).alias("n"), F.count(F.lit(1)).alias("all"))
+    by, source = Window.partitionBy("source").orderBy("size"), Window.partitionBy("source")
+    near = F.coalesce(F.sum("n").over(by.rangeBetween(-10 - spare, -1 - spare)), F.lit(0)) / 10
+    beyond = F.coalesce(F.sum("all").over(by.rangeBetween(1, Window.unboundedFollowing)), F.lit(0))
+    full = sizes.withColumn("near", near).withColumn("at", (F.col("n") >= 8) & (F.col("n") > 3 * (F.col("near") + 1)) & (beyond <= 0.002 * F.sum("all").over(source)))
+    # The shorter values of a limit of bytes are measured by what stands before that limit.
+    limit = F.when(F.col("at"), F.col("near"))
+    full = full.withColumn("near", F.first(limit, ignorenulls=True).over(by.rangeBetween(0, spare)))
+    return full.where("near is not null and n > 0").select("source", F.col("size").alias("limit"), (F.col("n") / (F.col("near") + 0.5)).alias("excess")).where("excess > 1")
+
+
+def by_source(df: DataFrame, source_col: str = "source", text_col: str = "caption") -> DataFrame:
+    """(source, characters, bytes, share): the limits of a source as maps of length to excess, and how many times as
+    often as in all sources its values end without a closing sign; limits and marks of omission aside."""
+    base = require(df, source_col, text_col).toDF("source", "text")
+    out = None
+    for unit in ("characters", "bytes"):
+        found = limits(base, "source", "text", unit).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("limit", "excess"))).alias(unit))
+        out = found if out is None else out.join(found, "source", "full")
+    free = base.where(F.length("text") > 0).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("text").rlike(CLOSED)).alias("open"))
+    total = free.agg(F.sum("n").alias("total"), F.sum("open").alias("total_open"))
+    share = (F.col("open") + 5 * F.col("total_open") / F.col("total")) / (F.col("n") + 5) / F.greatest(F.col("total_open") / F.col("total"), F.lit(1e-6))
+    free = free.crossJoin(F.broadcast(total)).select("source", share.alias("share"))  # one row
+    return materialize(free.join(out, "source", "left"), "sources")
+
+
+def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """rows (source, text, ...) with excess, null away from limits, and share."""
+    sources = F.broadcast(sources) if sources.count() <= SMALL else sources
+    at = lambda unit, size: F.try_element_at(unit, size)
+    joined = rows.join(sources, "source", "left")
+    excess = F.greatest(at(F.col("characters"), F.length("text")), at(F.col("bytes"), F.octet_length("text")))
+    return joined.withColumn("excess", F.when(~F.col("text").rlike(CLOSED), excess)).drop("characters", "bytes")
+
+
+def train(df: DataFrame, text_col: str, sources: DataFrame, source_col: str, refs: DataFrame) -> StoredModel:
+    """The model of all different values; sources: see by_source; refs: (lang, ref_text), trusted complete values for the thresholds."""
     texts = df.where(F.length(text_col) > 0).select(F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    # A value that was delivered twice is one: a cut one must not speak for itself.
+    texts = texts.dropDuplicates(["text", "source"])
 
     def count_words(columns: list, table: np.ndarray) -> None:
         row = Masked([t for t in columns[0] if t])
-        slot = (row.hash >> np.uint64(64 - DF_BITS)).astype(np.int64)
+        slot = (row.hash[~row.final()] >> np.uint64(64 - DF_BITS)).astype(np.int64)  # the last word may itself be cut
         table[:-1] += np.bincount(slot, minlength=len(table) - 1).astype(np.int32)
         table[-1] += len(columns[0])
 
     counted = np.zeros((1 << DF_BITS) + PART, np.int32)
-    for batch in _sum_tables(texts.select("text"), (1 << DF_BITS) + 1, count_words).toArrow().to_batches():
+    for batch in _sum_tables(df.where(F.length(text_col) > 0).select(text_col), (1 << DF_BITS) + 1, count_words).toArrow().to_batches():
         _unpack(batch, counted)
     common = counted[: 1 << DF_BITS] > max(2.0, COMMON * int(counted[1 << DF_BITS]))
     shared = df.sparkSession.sparkContext.broadcast(common)
-    half = len(ORDERS) * 2 << BITS
 
-    def count_contexts(columns: list, table: np.ndarray) -> None:
+    def count_contexts(columns: list, flat: np.ndarray) -> None:
         keep = [(t, c) for t, c in zip((normal(t) for t in columns[0]), columns[1]) if t]
         row = Masked([t for t, _ in keep])
         row.mask(shared.value)
-        cut = np.array([c or MARK.search(t) is not None for t, c in keep])
+        cut = np.array([c or MARK.search(t) is not None for t, c in keep], bool)
+        tables = iter(flat.reshape(TABLES, 2, -1))
+
+        def add(slots: np.ndarray, ends: np.ndarray, times: np.ndarray | None = None) -> None:
+            table = next(tables)
+            for k, (s, n) in enumerate(((slots, times), (slots[ends], None if times is None else times[ends]))):
+                table[k] += np.bincount(s, n, table.shape[1]).astype(np.int32)
+
         slots, ends, at, _ = row.contexts()
         owner = np.searchsorted(row.place[row.text_end], at)
         ends &= ~cut[np.minimum(owner, len(cut) - 1)]
-        first, second = table[:half].reshape(len(ORDERS), 2, -1), table[half:].reshape(len(WORD_ORDERS), 2, -1)
-        for t, s in zip(first, slots):
-            t[0] += np.bincount(s, minlength=t.shape[1]).astype(np.int32)
-            t[1] += np.bincount(s[ends], minlength=t.shape[1]).astype(np.int32)
-        inner = np.flatnonzero(row.rare & (row.codes[row.end] != 1))  # the last word may itself be cut
+        for s in slots:
+            add(s, ends)
+        inner = np.flatnonzero(row.rare & ~row.final())  # the last word may itself be cut
         size = row.end[inner] - row.begin[inner]
         begin = np.repeat(row.begin[inner], size)
         end = begin + np.arange(len(begin)) - np.repeat(np.cumsum(size) - size, size) + 1
         whole = end == np.repeat(row.end[inner], size)
-        for t, s in zip(second, row.word_contexts(begin, end)):
-            t[0] += np.bincount(s, minlength=t.shape[1]).astype(np.int32)
-            t[1] += np.bincount(s[whole], minlength=t.shape[1]).astype(np.int32)
-
-    rows = texts.withColumn("limit", F.length("text")).join(limited.drop("excess").withColumn("at_limit", F.lit(True)), ["source", "limit"], "left").select("text", F.coalesce("at_limit", F.lit(False)))
-    counts = materialize(_sum_tables(rows, half + (len(WORD_ORDERS) * 2 << BITS), count_contexts), "ends")
+        for s in row.word_contexts(begin, end):
+            add(s, whole)
+        words, short = row.short_contexts()
+        ends = row.final()[words] & ~cut[row.owner[words]]
+        for s in short:
+            add(s, ends)
+        small = np.flatnonzero(row.small() & ~row.final())
+        _, one, times = np.unique(row.hash[small], return_index=True, return_counts=True)
+        s, whole, of = row.prefixes(small[one])
+        add(s, whole, times[of])
+
+    rows = with_source(texts, sources).select("text", F.col("excess").isNotNull())
+    counts = materialize(_sum_tables(rows, TABLES * 2 << BITS, count_contexts), "ends")
     model = StoredModel(common, counts.inputFiles())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = model.load()
         for batch in batches:
-            pairs = [(lang, t) for lang, t in zip(*(c.to_pylist() for c in batch.columns)) if not COMPLETE.search(t)]
-            odds = end.log_odds([normal(t) for _, t in pairs]) if pairs else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([pa.array([lang for lang, _ in pairs], pa.string()), pa.array(odds, pa.float64())], ["lang", "odds"])
+            langs, values = (c.to_pylist() for c in batch.columns)
+            values = [normal(t) for t in values]
+            odds = end.log_odds(values) - CLOSING * np.array([_closed.search(t) is not None for t in values], bool) if values else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(odds, pa.float64())], ["lang", "odds"])
 
     by: dict[str, list[float]] = {}
     for r in refs.mapInArrow(judge, "lang string, odds double").collect():
@@ -316,20 +426,19 @@ def train(df: DataFrame, text_col: str, limited: DataFrame, source_col: str, ref
 def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang", model: StoredModel | None = None, rows: DataFrame | None = None, residue=None) -> DataFrame:
     """(id, source, cut, log_odds): for each row whether its text was cut.
 
-    A mark of omission at the very end makes a text cut. Null and blank texts are not cut; a null source has no limit.
-    Repeated rows: a row each. An empty table gives no rows. rows: those to judge, where not all are. residue: a
-    model of texts that aren't descriptions; rows that it finds are not cut.
+    Null and blank texts are not cut; a null source has no limit. Repeated rows: a row each. An empty table gives no
+    rows. refs: a bounded table of trusted values. rows: those to judge, where not all are. residue: a model of texts
+    that aren't descriptions; rows that it finds are not cut.
     """
     from .language import label_language
 
     base = require(df, id_col, text_col, source_col, lang_col)
-    limited = limits(base, source_col, text_col)
+    sources = by_source(base, source_col, text_col)
     if model is None:
-        trusted = require(refs, "lang", "ref_text").where("ref_text is not null").limit(10_000)
-        model = train(base, text_col, limited, source_col, trusted)
+        model = train(base, text_col, sources, source_col, require(refs, "lang", "ref_text").where("ref_text is not null"))
     shared = df.sparkSession.sparkContext.broadcast((model, residue))
     judged = (base if rows is None else require(rows, id_col, text_col, source_col, lang_col)).toDF("id", "text", "source", "lang")
-    judged = judged.withColumn("limit", F.length("text")).join(limited, ["source", "limit"], "left").select("id", "text", "source", "lang", "excess")
+    judged = with_source(judged, sources).select("id", "text", "source", "lang", "excess", "share")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored, other = shared.value
@@ -339,17 +448,20 @@ def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
                 part = batch.slice(at, CHUNK)
                 raw = part.column(1).to_pylist()
                 texts = [normal(t) if t else "" for t in raw]
+                bare = [MARK.sub("", t).rstrip() for t in texts]
+                marked = np.array([b != t for b, t in zip(bare, texts)], bool)
                 seen = np.array([t != "" for t in texts], bool)
                 free = part.column(4).is_null().to_numpy(zero_copy_only=False)
-                ended = seen & free & np.array([MARK.search(t) is None for t in texts], bool)
-                odds = end.log_odds(texts, seen, ended)
+                share = part.column(5).fill_null(1.0).to_numpy(zero_copy_only=False)
+                closed = np.array([_closed.search(t) is not None for t in bare], bool)
+                share = np.where(closed, 1.0, np.clip(share, 0.02, 2.5))
+                odds = end.log_odds(bare, seen, seen & free & ~marked, share) + MARKED * marked - CLOSING * closed
                 cut = []
-                for whole, t, value, lang, excess in zip(raw, texts, odds.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
+                for whole, t, value, lang, excess in zip(raw, bare, odds.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
                     need = end.thresholds.get(label_language(lang) or "", THRESHOLD)
                     if excess is not None:
-                        need -= min(AT_LIMIT, float(np.log(max(excess, 1.0))) + 1)
-                    ends = bool(t) and (MARK.search(t) is not None or (value > need and not COMPLETE.search(t)))
-                    cut.append(ends and not (other is not None and other.found(whole)))
+                        need -= min(AT_LIMIT, float(np.log(excess)) + 1)
+                    cut.append(bool(t) and value > need and not (other is not None and other.found(whole)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(cut, pa.bool_()), pa.array(odds, pa.float64())], ["id", "source", "cut", "log_odds"])
 
     return judged.mapInArrow(run, "id bigint, source string, cut boolean, log_odds double")

@@ -155,16 +155,34 @@ def test_truncation(spark):
     assert truncation.truncated(df.limit(0), refs).count() == 0 and F is not None
 
 
-def test_every_row_is_counted_and_leaves_itself_out(spark, monkeypatch):
-    monkeypatch.setattr(truncation, "SAMPLE_ROWS", 5, raising=False)  # a bound on the counted rows, if there is one
-    rows = [(i, "A boat rests at the quay", "press", "en") for i in range(40)] + [(40, "A lone heron by the quay", "press", "en")]
-    df = spark.createDataFrame(rows, "pair_id bigint, caption string, source string, lang string")
+def test_limits_of_bytes(spark):
+    rows = [("b", "é" * k + "x" * (80 - 2 * k)) for k in range(1, 20)] + [("b", "é" * 39 + "x")] * 9 + [("b", "short one")] * 30 + [("c", "y" * 50)] * 20 + [("c", "y" * 49 + ".")] * 20 + [(None, "z" * 50)]
+    df = spark.createDataFrame(rows, "source string, caption string")
+    assert {(r.source, r.limit) for r in truncation.limits(df, unit="bytes").collect()} == {("b", 80), ("b", 79), ("c", 50)}
+    assert {(r.source, r.limit) for r in truncation.limits(df).collect()} == {("c", 50)}
+    sources = {r.source: r for r in truncation.by_source(df).collect()}
+    assert sources["b"].bytes.keys() == {79, 80} and sources["c"].share < 1 < sources["b"].share
+    excess = {r.text: r.excess for r in truncation.with_source(df.withColumnRenamed("caption", "text"), truncation.by_source(df)).collect()}
+    assert excess["y" * 50] > 1 and excess["y" * 49 + "."] is None and excess["short one"] is None and excess["z" * 50] is None
+
+
+def test_every_value_is_counted_once_and_leaves_itself_out(spark):
+    rows = [(i, f"A boat rests at the quay {'very ' * (i % 13)}late {i:03}", "press", "en") for i in range(40)] + [(40, "A lone heron by the quay", "press", "en")]
+    df = spark.createDataFrame(rows + [(90 + i, rows[i][1], "press", "en") for i in range(9)], "pair_id bigint, caption string, source string, lang string")
     refs = spark.createDataFrame([("en", "A boat rests at the quay")], "lang string, ref_text string")
     base = df.select("pair_id", "caption", "source", "lang")
-    model = truncation.train(base, "caption", truncation.limits(base).limit(0), "source", refs).load()
-    assert all(int(t[1].sum()) == len(rows) for t in model.texts)  # an end of each row, in each order
+    model = truncation.train(base, "caption", truncation.by_source(base), "source", refs).load()
+    assert all(int(t[1].sum()) == len(rows) for t in model.texts)  # an end of each different value, in each order
     one, other = rows[0][1], rows[40][1]
     seen = np.ones(2, bool)
-    assert (model.log_odds([one, other], seen, seen) > model.log_odds([one, other])).all()
-    own = model.log_odds([one], seen[:1], ~seen[:1])[0]
-    assert own < model.log_odds([one], seen[:1], seen[:1])[0]
+    assert (model.log_odds([one, other], seen, seen) >= model.log_odds([one, other])).all()
+    assert model.log_odds([one], seen[:1], seen[:1])[0] > model.log_odds([one])[0]
+
+
+def test_moved_words_say_nothing_about_an_end(spark):
+    rows = [(i, t, "press", lang) for i, (lang, t) in enumerate(captions(150)) if lang == "en"]
+    rows += [(5000, "dawn boat A rusty the near of at harbour the", "press", "en"), (5001, "A rusty boat resting near the", "press", "en"), (5002, "…", "press", "en")]
+    df = spark.createDataFrame(rows, "pair_id bigint, caption string, source string, lang string")
+    refs = spark.createDataFrame(captions(30, 7), "lang string, ref_text string")
+    got = {r.id: r.cut for r in truncation.truncated(df, refs).collect()}
+    assert got[5001] and not got[5000] and not got[5002]
