@@ -124,6 +124,7 @@ _to_latin = {ord(a): b for a, b in zip(LOOKALIKE, LOOKALIKE_AS)}
 _to_cyrillic = {ord(b): a for a, b in zip(reversed(CYRILLIC), reversed(CYRILLIC_AS))} | {ord(a): c for a, b in zip(GREEK + ARMENIAN + LATIN, GREEK_AS + ARMENIAN_AS + LATIN_AS) for c, d in zip(CYRILLIC, CYRILLIC_AS) if d == b}
 _untidy = re.compile("[" + "".join(map(re.escape, INVISIBLE + JOINER + SPACES + "".join(LIGATURES))) + "\uff01-\uffee]")
 _foreign = re.compile(r"[Ͱ-֏ɑɡıſʀ]")
+_other_letters = re.compile("[A-Za-z\u00c0-\u03ff\u0530-\u058f]")
 _word = re.compile(r"[^\W\d_]+")
 _cyrillic_only = re.compile(f"[{''.join(c for c in map(chr, range(0x400, 0x530)) if c not in CYRILLIC)}]")
 _latin_only = re.compile(f"[{''.join(c for c in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x250)]) if c not in CYRILLIC_AS)}]")
@@ -139,7 +140,7 @@ def repair(text: str) -> str:
     if _untidy.search(text):
         text = text.translate(_tidy_table).replace(JOINER, "")
     text = unicodedata.normalize("NFC", text)
-    if not _foreign.search(text):
+    if not _foreign.search(text) or (not _other_letters.search(text) and _cyrillic_only.search(text)):
         return text
     cyrillic, latin = len(_cyrillic_only.findall(text)), len(_latin_only.findall(text))
 

@@ -161,9 +161,12 @@ def candidates(text: str, fair: bool = False) -> list[tuple[str, float]]:
 def clean(texts: list[str]) -> list[str]:
     """Those in which no way back to UTF-8 finds anything to decode, and that lost no character."""
     back = steps()[0]
-    return [t for t in texts if t.isascii() or not _maybe.search(t) or not (SURE.search(t) or any(s.apply(t) is not None for s in back))]
+    return [t for t in texts if t.isascii() or not _beyond.search(t) or not _maybe.search(t) or not (SURE.search(t) or any(s.apply(t) is not None for s in back))]
 
 
+#: No way back to UTF-8 changes a text without any of these: the letters left out stand for no byte inside a sequence,
+#: but in cp866, where a row of letters is taken for words.
+_beyond = re.compile("[^\x00-\x7f\u0410-\u044f]")
 _han = re.compile("[\u4e00-\u9fff]")
 #: No chain changes a text without any of these: two high characters in a row, a lost no-break space, a Cyrillic letter.
 _maybe = re.compile("[^\x00-\x7f]{2}|\u00c3 |[\u0400-\u045f]|\ufffd|[\x80-\x9f]")

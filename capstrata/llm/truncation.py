@@ -46,8 +46,7 @@ SMALL = 100_000  # rows of a table by source that is broadcast; a larger one is
 MARK = re.compile(r"(?:…|\.\.\.|\[(?:more|…|\.\.\.)\]|\((?:more|…)\)|(?:read|see) more)\s*$", re.I)
 
 #: Fixed value: what closes a sentence or an addition. How often a source's values end otherwise is counted with it.
-CLOSED = r"[.!?\u3002\uff01\uff1f\uff0e)\]}>\"\u201d\u00bb]\s*$"
-_closed = re.compile(CLOSED)
+CLOSING_SIGNS = ".!?\u3002\uff01\uff1f\uff0e)]}>\"\u201d\u00bb"
 CHUNK = 8000  # rows looked at together
 
 _bmp = list(map(chr, range(0x10000)))
@@ -69,11 +68,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _known_powers[0][:n], _known_powers[1][:n]
 
 
+def unmarked(text: str) -> str:
+    """The text without a mark of omission at its end."""
+    if text[-1:] not in "….])eE" or (found := MARK.search(text, max(0, len(text) - 16))) is None:
+        return text
+    return text[: found.start()].rstrip()
+
+
+def closed(texts: list[str]) -> np.ndarray:
+    return np.array([t[-1:] != "" and t[-1] in CLOSING_SIGNS for t in texts], bool)
+
+
 def normal(text: str) -> str:
     """The value in one form, decoded as UTF-8 where it plainly was taken for another charset."""
     if text.isascii():
         return text.rstrip()
-    if encoding._maybe.search(text) and not encoding.clean([text]):
+    if not encoding.clean([text]):
         found = encoding.candidates(text, True)
         text = found[-1][0] if found else text
     return repair(text).rstrip()
@@ -168,13 +178,12 @@ class Masked:
 
     def word_contexts(self, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         """Slots of the letters before `end`, inside words that begin at `begin`."""
-        out = []
-        for k in WORD_ORDERS:
-            h = np.full(len(end), np.uint64(k))
-            for back in range(1, k + 1):
-                at = end - back
-                h = mix(h * np.uint64(31) + np.where(at >= begin, self.lower[np.maximum(at, 0)], np.uint64(2)))
-            out.append((h >> np.uint64(64 - BITS)).astype(np.int64))
+        out, h = [], np.zeros(len(end), np.uint64)
+        for back in range(1, max(WORD_ORDERS) + 1):
+            at = end - back
+            h = mix(h * np.uint64(31) + np.where(at >= begin, self.lower[np.maximum(at, 0)], np.uint64(2)))
+            if back in WORD_ORDERS:
+                out.append((h >> np.uint64(64 - BITS)).astype(np.int64))
         return out
 
 
@@ -310,38 +319,48 @@ def _sum_tables(texts: DataFrame, shape: int, fill: Callable[[list, np.ndarray],
     return texts.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind)
 
 
-def limits(df: DataFrame, source_col: str = "source", text_col: str = "caption", unit: str = "characters") -> DataFrame:
-    """(source, limit, excess): lengths at which many texts of a source end without a closing sign, and beyond which
-    hardly any goes. unit: characters or bytes; a limit of bytes also cuts some bytes short of it, before a longer character.
+def _open(text: str):
+    """Whether a text ends without a closing sign."""
+    last = F.right(F.rtrim(F.col(text)), F.lit(1))
+    return ~last.isin(*CLOSING_SIGNS)
+
+
+def sizes(df: DataFrame, source_col: str = "source", text_col: str = "caption") -> DataFrame:
+    """(source, characters, bytes, n, all): how many texts of a source have each size, n of them without a closing sign."""
+    texts = require(df, source_col, text_col).toDF("source", "text").where(F.length("text") > 0)
+    return texts.groupBy("source", F.length("text").alias("characters"), F.octet_length("text").alias("bytes")).agg(F.count_if(_open("text")).alias("n"), F.count(F.lit(1)).alias("all"))
+
+
+def limits(counted: DataFrame, unit: str = "characters") -> DataFrame:
+    """(source, limit, excess): of the rows of `sizes`, lengths at which many texts of a source end without a closing
+    sign, and beyond which hardly any goes. unit: characters or bytes; a limit of bytes also cuts some bytes short of
+    it, before a longer character.
     """
     if unit not in ("characters", "bytes"):
         raise ValueError(f"unknown unit: {unit}")
     spare = 0 if unit == "characters" else 3
-    size = F.length(text_col) if unit == "characters" else F.octet_length(text_col)
-    sizes = require(df, source_col, text_col).where(F.col(text_col).isNotNull()).groupBy(F.col(source_col).alias("source"), size.alias("size")).agg(F.count_if(~F.col(text_col).rlike(CLOSED)).alias("n"), F.count(F.lit(1)).alias("all"))
     by, source = Window.partitionBy("source").orderBy("size"), Window.partitionBy("source")
     near = F.coalesce(F.sum("n").over(by.rangeBetween(-10 - spare, -1 - spare)), F.lit(0)) / 10
     beyond = F.coalesce(F.sum("all").over(by.rangeBetween(1, Window.unboundedFollowing)), F.lit(0))
-    full = sizes.withColumn("near", near).withColumn("at", (F.col("n") >= 8) & (F.col("n") > 3 * (F.col("near") + 1)) & (beyond <= 0.002 * F.sum("all").over(source)))
+    full = counted.groupBy("source", F.col(unit).alias("size")).agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
+    full = full.withColumn("near", near).withColumn("at", (F.col("n") >= 8) & (F.col("n") > 3 * (F.col("near") + 1)) & (beyond <= 0.002 * F.sum("all").over(source)))
     # The shorter values of a limit of bytes are measured by what stands before that limit.
-    limit = F.when(F.col("at"), F.col("near"))
-    full = full.withColumn("near", F.first(limit, ignorenulls=True).over(by.rangeBetween(0, spare)))
+    full = full.withColumn("near", F.first(F.when(F.col("at"), F.col("near")), ignorenulls=True).over(by.rangeBetween(0, spare)))
     return full.where("near is not null and n > 0").select("source", F.col("size").alias("limit"), (F.col("n") / (F.col("near") + 0.5)).alias("excess")).where("excess > 1")
 
 
 def by_source(df: DataFrame, source_col: str = "source", text_col: str = "caption") -> DataFrame:
     """(source, characters, bytes, share): the limits of a source as maps of length to excess, and how many times as
-    often as in all sources its values end without a closing sign; limits and marks of omission aside."""
-    base = require(df, source_col, text_col).toDF("source", "text")
-    out = None
+    often as in all sources its values end without a closing sign."""
+    counted = materialize(sizes(df, source_col, text_col), "sizes")
+    free = counted.groupBy("source").agg(F.sum("all").alias("all"), F.sum("n").alias("open"))
+    total = free.agg(F.sum("all").alias("total"), F.sum("open").alias("total_open"))
+    mean = F.col("total_open") / F.col("total")
+    share = (F.col("open") + 5 * mean) / (F.col("all") + 5) / F.greatest(mean, F.lit(1e-6))
+    out = free.crossJoin(F.broadcast(total)).select("source", share.alias("share"))  # total is one row
     for unit in ("characters", "bytes"):
-        found = limits(base, "source", "text", unit).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("limit", "excess"))).alias(unit))
-        out = found if out is None else out.join(found, "source", "full")
-    free = base.where(F.length("text") > 0).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("text").rlike(CLOSED)).alias("open"))
-    total = free.agg(F.sum("n").alias("total"), F.sum("open").alias("total_open"))
-    share = (F.col("open") + 5 * F.col("total_open") / F.col("total")) / (F.col("n") + 5) / F.greatest(F.col("total_open") / F.col("total"), F.lit(1e-6))
-    free = free.crossJoin(F.broadcast(total)).select("source", share.alias("share"))  # one row
-    return materialize(free.join(out, "source", "left"), "sources")
+        out = out.join(limits(counted, unit).groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("limit", "excess"))).alias(unit)), "source", "left")
+    return materialize(out, "sources")
 
 
 def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
@@ -350,14 +369,26 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     at = lambda unit, size: F.try_element_at(unit, size)
     joined = rows.join(sources, "source", "left")
     excess = F.greatest(at(F.col("characters"), F.length("text")), at(F.col("bytes"), F.octet_length("text")))
-    return joined.withColumn("excess", F.when(~F.col("text").rlike(CLOSED), excess)).drop("characters", "bytes")
+    return joined.withColumn("excess", F.when(_open("text"), excess)).drop("characters", "bytes")
+
+
+def prepared(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """(id, text, source, lang, excess, share): every row with its text in one form; null texts are empty."""
+    base = require(df, id_col, text_col, source_col, lang_col).toDF("id", "text", "source", "lang")
+    rows = with_source(base, by_source(base, "source", "text")).select("id", "text", "source", "lang", "excess", F.coalesce("share", F.lit(1.0)).alias("share"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([normal(t) if t else "" for t in batch.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), texts, *batch.columns[2:]], batch.schema.names)
+
+    return materialize(rows.mapInArrow(run, rows.schema), "values")
 
 
-def train(df: DataFrame, text_col: str, sources: DataFrame, source_col: str, refs: DataFrame) -> StoredModel:
-    """The model of all different values; sources: see by_source; refs: (lang, ref_text), trusted complete values for the thresholds."""
-    texts = df.where(F.length(text_col) > 0).select(F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+def train(values: DataFrame, refs: DataFrame) -> StoredModel:
+    """The model of all different values (see `prepared`); refs: (lang, ref_text), trusted complete values for the thresholds."""
     # A value that was delivered twice is one: a cut one must not speak for itself.
-    texts = texts.dropDuplicates(["text", "source"])
+    texts = values.where("text <> ''").groupBy("text", "source").agg(F.max(F.col("excess").isNotNull()).alias("at_limit")).select("text", "at_limit")
 
     def count_words(columns: list, table: np.ndarray) -> None:
         row = Masked([t for t in columns[0] if t])
@@ -366,16 +397,15 @@ def train(df: DataFrame, text_col: str, sources: DataFrame, source_col: str, ref
         table[-1] += len(columns[0])
 
     counted = np.zeros((1 << DF_BITS) + PART, np.int32)
-    for batch in _sum_tables(df.where(F.length(text_col) > 0).select(text_col), (1 << DF_BITS) + 1, count_words).toArrow().to_batches():
+    for batch in _sum_tables(values.select("text"), (1 << DF_BITS) + 1, count_words).toArrow().to_batches():
         _unpack(batch, counted)
     common = counted[: 1 << DF_BITS] > max(2.0, COMMON * int(counted[1 << DF_BITS]))
-    shared = df.sparkSession.sparkContext.broadcast(common)
+    shared = values.sparkSession.sparkContext.broadcast(common)
 
     def count_contexts(columns: list, flat: np.ndarray) -> None:
-        keep = [(t, c) for t, c in zip((normal(t) for t in columns[0]), columns[1]) if t]
-        row = Masked([t for t, _ in keep])
+        row = Masked(columns[0])
         row.mask(shared.value)
-        cut = np.array([c or MARK.search(t) is not None for t, c in keep], bool)
+        cut = np.array([c or len(unmarked(t)) < len(t) for t, c in zip(*columns)], bool)
         tables = iter(flat.reshape(TABLES, 2, -1))
 
         def add(slots: np.ndarray, ends: np.ndarray, times: np.ndarray | None = None) -> None:
@@ -404,8 +434,7 @@ def train(df: DataFrame, text_col: str, sources: DataFrame, source_col: str, ref
         s, whole, of = row.prefixes(small[one])
         add(s, whole, times[of])
 
-    rows = with_source(texts, sources).select("text", F.col("excess").isNotNull())
-    counts = materialize(_sum_tables(rows, TABLES * 2 << BITS, count_contexts), "ends")
+    counts = materialize(_sum_tables(texts, TABLES * 2 << BITS, count_contexts), "ends")
     model = StoredModel(common, counts.inputFiles())
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,7 +442,7 @@ def train(df: DataFrame, text_col: str, sources: DataFrame, source_col: str, ref
         for batch in batches:
             langs, values = (c.to_pylist() for c in batch.columns)
             values = [normal(t) for t in values]
-            odds = end.log_odds(values) - CLOSING * np.array([_closed.search(t) is not None for t in values], bool) if values else np.zeros(0)
+            odds = end.log_odds(values) - CLOSING * closed(values) if values else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(odds, pa.float64())], ["lang", "odds"])
 
     by: dict[str, list[float]] = {}
@@ -432,13 +461,11 @@ def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
     """
     from .language import label_language
 
-    base = require(df, id_col, text_col, source_col, lang_col)
-    sources = by_source(base, source_col, text_col)
+    values = prepared(df, id_col, text_col, source_col, lang_col)
     if model is None:
-        model = train(base, text_col, sources, source_col, require(refs, "lang", "ref_text").where("ref_text is not null"))
+        model = train(values, require(refs, "lang", "ref_text").where("ref_text is not null"))
     shared = df.sparkSession.sparkContext.broadcast((model, residue))
-    judged = (base if rows is None else require(rows, id_col, text_col, source_col, lang_col)).toDF("id", "text", "source", "lang")
-    judged = with_source(judged, sources).select("id", "text", "source", "lang", "excess", "share")
+    judged = values if rows is None else values.join(rows.select(F.col(id_col).alias("id")), "id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored, other = shared.value
@@ -446,22 +473,20 @@ def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
         for batch in batches:
             for at in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(at, CHUNK)
-                raw = part.column(1).to_pylist()
-                texts = [normal(t) if t else "" for t in raw]
-                bare = [MARK.sub("", t).rstrip() for t in texts]
-                marked = np.array([b != t for b, t in zip(bare, texts)], bool)
+                texts = part.column("text").to_pylist()
+                bare = [unmarked(t) for t in texts]
+                marked = np.array([len(b) < len(t) for b, t in zip(bare, texts)], bool)
                 seen = np.array([t != "" for t in texts], bool)
-                free = part.column(4).is_null().to_numpy(zero_copy_only=False)
-                share = part.column(5).fill_null(1.0).to_numpy(zero_copy_only=False)
-                closed = np.array([_closed.search(t) is not None for t in bare], bool)
-                share = np.where(closed, 1.0, np.clip(share, 0.02, 2.5))
-                odds = end.log_odds(bare, seen, seen & free & ~marked, share) + MARKED * marked - CLOSING * closed
+                free = part.column("excess").is_null().to_numpy(zero_copy_only=False)
+                shut = closed(bare)
+                share = np.where(shut, 1.0, np.clip(part.column("share").to_numpy(), 0.02, 2.5))
+                odds = end.log_odds(bare, seen, seen & free & ~marked, share) + MARKED * marked - CLOSING * shut
                 cut = []
-                for whole, t, value, lang, excess in zip(raw, bare, odds.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
+                for whole, t, value, lang, excess in zip(texts, bare, odds.tolist(), part.column("lang").to_pylist(), part.column("excess").to_pylist()):
                     need = end.thresholds.get(label_language(lang) or "", THRESHOLD)
                     if excess is not None:
                         need -= min(AT_LIMIT, float(np.log(excess)) + 1)
                     cut.append(bool(t) and value > need and not (other is not None and other.found(whole)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(cut, pa.bool_()), pa.array(odds, pa.float64())], ["id", "source", "cut", "log_odds"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("source"), pa.array(cut, pa.bool_()), pa.array(odds, pa.float64())], ["id", "source", "cut", "log_odds"])
 
     return judged.mapInArrow(run, "id bigint, source string, cut boolean, log_odds double")

@@ -146,7 +146,7 @@ def test_truncation(spark):
     rows += [(9000, None, "press", "en"), (9001, "", "press", "en"), (9002, "A rusty boat resting near [more]", None, None), (9003, "A rusty boat resting near the", "press", "en")]
     df = spark.createDataFrame(rows, "pair_id bigint, caption string, source string, lang string")
     refs = spark.createDataFrame(captions(30, 7), "lang string, ref_text string")
-    assert {(r.source, r.limit) for r in truncation.limits(df).collect()} == {("cut", 60)}
+    assert {(r.source, r.limit) for r in truncation.limits(truncation.sizes(df)).collect()} == {("cut", 60)}
     got = {r.id: r.cut for r in truncation.truncated(df, refs).collect()}
     assert got[9002] and got[9003] and not got[9000] and not got[9001] and len(got) == len(rows)
     assert not any(got[i] for i in range(len(captions(150))))
@@ -158,8 +158,8 @@ def test_truncation(spark):
 def test_limits_of_bytes(spark):
     rows = [("b", "é" * k + "x" * (80 - 2 * k)) for k in range(1, 20)] + [("b", "é" * 39 + "x")] * 9 + [("b", "short one")] * 30 + [("c", "y" * 50)] * 20 + [("c", "y" * 49 + ".")] * 20 + [(None, "z" * 50)]
     df = spark.createDataFrame(rows, "source string, caption string")
-    assert {(r.source, r.limit) for r in truncation.limits(df, unit="bytes").collect()} == {("b", 80), ("b", 79), ("c", 50)}
-    assert {(r.source, r.limit) for r in truncation.limits(df).collect()} == {("c", 50)}
+    assert {(r.source, r.limit) for r in truncation.limits(truncation.sizes(df), unit="bytes").collect()} == {("b", 80), ("b", 79), ("c", 50)}
+    assert {(r.source, r.limit) for r in truncation.limits(truncation.sizes(df)).collect()} == {("c", 50)}
     sources = {r.source: r for r in truncation.by_source(df).collect()}
     assert sources["b"].bytes.keys() == {79, 80} and sources["c"].share < 1 < sources["b"].share
     excess = {r.text: r.excess for r in truncation.with_source(df.withColumnRenamed("caption", "text"), truncation.by_source(df)).collect()}
@@ -170,8 +170,7 @@ def test_every_value_is_counted_once_and_leaves_itself_out(spark):
     rows = [(i, f"A boat rests at the quay {'very ' * (i % 13)}late {i:03}", "press", "en") for i in range(40)] + [(40, "A lone heron by the quay", "press", "en")]
     df = spark.createDataFrame(rows + [(90 + i, rows[i][1], "press", "en") for i in range(9)], "pair_id bigint, caption string, source string, lang string")
     refs = spark.createDataFrame([("en", "A boat rests at the quay")], "lang string, ref_text string")
-    base = df.select("pair_id", "caption", "source", "lang")
-    model = truncation.train(base, "caption", truncation.by_source(base), "source", refs).load()
+    model = truncation.train(truncation.prepared(df), refs).load()
     assert all(int(t[1].sum()) == len(rows) for t in model.texts)  # an end of each different value, in each order
     one, other = rows[0][1], rows[40][1]
     seen = np.ones(2, bool)
