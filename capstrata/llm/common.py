@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,18 +73,75 @@ def attach_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str
     return both.select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in values])
 
 
-def pair_rows(members: DataFrame, keys: list[str], row_id: str, other: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id_a, id_b) and the carried columns of both, id_a < id_b, of all rows with equal keys.
+def pair_rows(members: DataFrame, keys: list[str], row_id: str, other: str | None = None) -> DataFrame:
+    """(id_a, id_b), id_a < id_b, of all rows with equal keys.
 
-    members has a column n, the size of the row's group. Groups are cut into blocks of about BLOCK_ROWS rows and blocks
-    are joined with blocks, so that no task holds a whole group. other: a column whose values must differ.
+    members has a column n, the size of the row's group. Groups are cut into blocks of about BLOCK_ROWS rows, and a block
+    meets another under the number of the one and the keys, so that no task holds or pairs a whole group. other: a column
+    whose values must differ.
     """
-    cut = members.withColumn("_block", F.expr(f"pmod(xxhash64(`{row_id}`), cast(ceil(n / {BLOCK_ROWS}) as bigint))"))
-    item = F.struct(F.col(row_id).alias("id"), *([F.col(other).alias("other")] if other else []), *[F.col(c) for c in carry])
+    cut = members.withColumn("_blocks", F.ceil(F.col("n") / BLOCK_ROWS)).withColumn("_block", F.pmod(F.xxhash64(row_id), F.col("_blocks")))
+    item = F.struct(F.col(row_id).alias("id"), *([F.col(other).alias("other")] if other else []))
     blocks = cut.groupBy(*keys, "_block").agg(F.collect_list(item).alias("_rows"))
-    a, b = blocks.alias("a"), blocks.alias("b")
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys]
-    paired = a.join(b, on).select(F.explode("a._rows").alias("x"), F.col("b._rows").alias("ys")).select("x", F.explode("ys").alias("y")).where("x.id < y.id")
+    a, b = blocks.alias("a"), blocks.withColumn("_with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_block")))).alias("b")
+    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("a._block") == F.col("b._with")]
+    paired = a.join(b, on).select((F.col("a._block") < F.col("b._block")).alias("apart"), F.explode("a._rows").alias("x"), F.col("b._rows").alias("ys"))
+    paired = paired.select("apart", "x", F.explode("ys").alias("y")).where("x.id <> y.id and (apart or x.id < y.id)")
     if other:
         paired = paired.where("x.other <> y.other")
-    return paired.select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"), *[F.col(f"{s}.{c}").alias(f"{c}_{t}") for c in carry for s, t in (("x", "a"), ("y", "b"))])
+    return paired.select(F.least("x.id", "y.id").alias("id_a"), F.greatest("x.id", "y.id").alias("id_b"))
+
+
+SMALL_IDS = 2_000_000
+
+
+def with_ids(df: DataFrame, ids: DataFrame, on: str) -> DataFrame:
+    """The rows of df whose column is among ids (written, one column of numbers); SMALL_IDS or fewer are broadcast."""
+    ids = ids.toDF(on)
+    return df.join(F.broadcast(ids) if ids.count() <= SMALL_IDS else ids, on, "left_semi")
+
+
+# Rows of a fixed size in bytes cross a shuffle in blobs, one for each part of the receiving side: Spark then moves some
+# thousands of long values instead of millions of rows, and numpy reads them back without a copy.
+
+FLUSH = 1 << 19  # rows that a task gathers before it cuts them into blobs
+
+
+def blobs(chunks: Iterator[tuple[np.ndarray, np.ndarray]], parts: int) -> Iterator[pa.RecordBatch]:
+    """(part, data) of chunks (part of each row, rows of a structured type)."""
+
+    def cut(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        part, rows = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(parts + 1))
+        used = np.flatnonzero(np.diff(edges))
+        offsets = (np.append(edges[used], len(rows)) * rows.itemsize).astype(np.int32)
+        data = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(offsets), pa.py_buffer(rows[order].tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), data], ["part", "data"])
+
+    held, size = [], 0
+    for part, rows in chunks:
+        held.append((part, rows))
+        size += len(rows)
+        if size >= FLUSH:
+            yield cut(held)
+            held, size = [], 0
+    if size:
+        yield cut(held)
+
+
+def exchange(df: DataFrame, make: Callable, take: Callable, parts: int, dtype: np.dtype, schema: str) -> DataFrame:
+    """df -> make(batches) -> chunks (part, rows) -> shuffle -> take(all rows of a part) -> record batches.
+
+    A part is held by one task: whoever makes the rows spreads hot keys over parts.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from blobs(make(batches), parts)
+
+    def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [np.frombuffer(v.as_buffer(), dtype) for batch in batches for v in batch.column(1)]
+        if found:
+            yield from take(np.concatenate(found))
+
+    return df.mapInArrow(send, "part int, data binary").repartitionById(parts, "part").mapInArrow(receive, schema)

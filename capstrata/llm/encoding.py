@@ -206,8 +206,9 @@ def validated_margin(model: CharModel, trusted: list[str]) -> float:
     return max(0.0, worst[allowed] if allowed < len(worst) else 0.0)
 
 
-def train(texts: DataFrame, trusted: list[str]) -> tuple[CharModel, float]:
-    """The model of all clean rows of a one-column table, and the margin that the trusted texts allow."""
+def train(texts: DataFrame, refs: DataFrame, ref_col: str = "ref_text") -> tuple[CharModel, float]:
+    """The model of all clean rows of a one-column table, and the margin that the trusted texts (a bounded table) allow."""
+    trusted = [r[0] for r in require(refs, ref_col).where(f"`{ref_col}` is not null").collect()]
     model = CharModel(count_ngrams(texts, clean))
     return model, validated_margin(model, trusted)
 
@@ -221,8 +222,7 @@ def repaired(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
     """
     source = require(df, id_col, text_col)
     if trained is None:
-        trusted = [r[0] for r in require(refs, ref_col).where(f"`{ref_col}` is not null").limit(10_000).collect()]
-        trained = train(source.select(text_col), trusted)
+        trained = train(source.select(text_col), refs, ref_col)
     shared = df.sparkSession.sparkContext.broadcast(trained)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

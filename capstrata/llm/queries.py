@@ -8,22 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, canon, encoding, language, neardup, packing, rawdup, residue, spans, truncation
-from .common import table
+from .common import table, with_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs, refs = table(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs")
+    values = truncation.prepared(pairs)
 
-    def left_out(rows: DataFrame) -> DataFrame:
+    def left_out(ids: DataFrame) -> DataFrame:
         """Cut and garbled captions don't count: their models see all rows, but only rows of pairs are judged."""
-        trained = encoding.train(pairs.select("caption"), [r[0] for r in refs.select("ref_text").where("ref_text is not null").limit(10_000).collect()])
+        trained = encoding.train(pairs.select("caption"), refs)
+        rows = with_ids(pairs.select("pair_id", "caption"), ids, "pair_id")
         garbled = encoding.repaired(rows, refs, trained=trained).where("garbled").select("id")
-        cut = truncation.truncated(pairs, refs, rows=rows, residue=residue.train(pairs)).where("cut").select("id")
+        cut = truncation.truncated(pairs, refs, rows=ids, residue=residue.train(pairs), values=values).where("cut").select("id")
         return garbled.union(cut)
 
-    captions = neardup.near_captions(pairs, leave_out=left_out)
+    captions = neardup.near_captions(values, "id", "text", leave_out=left_out, tidy=False)
     images = neardup.near_hashes(table(spark, sf_dir, "images"))
     named = [df.select(F.lit(field).alias("field"), "id_a", "id_b") for field, df in (("caption", captions), ("image", images))]
     return named[0].unionByName(named[1])

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from . import encoding
 from .canon import repair
 from .chars import mix
-from .common import materialize, require
+from .common import materialize, require, with_ids
 
 ORDERS = (1, 3, 6, 10, 16, 28, 44)  # characters of the masked contexts
 WORD_ORDERS = (2, 3, 4, 6)  # letters of the contexts inside rare words
@@ -452,20 +452,20 @@ def train(values: DataFrame, refs: DataFrame) -> StoredModel:
     return model
 
 
-def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang", model: StoredModel | None = None, rows: DataFrame | None = None, residue=None) -> DataFrame:
+def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang", model: StoredModel | None = None, rows: DataFrame | None = None, residue=None, values: DataFrame | None = None) -> DataFrame:
     """(id, source, cut, log_odds): for each row whether its text was cut.
 
     Null and blank texts are not cut; a null source has no limit. Repeated rows: a row each. An empty table gives no
-    rows. refs: a bounded table of trusted values. rows: those to judge, where not all are. residue: a model of texts
-    that aren't descriptions; rows that it finds are not cut.
+    rows. refs: a bounded table of trusted values. rows: a written table of the ids to judge, where not all are.
+    residue: a model of texts that aren't descriptions; rows that it finds are not cut. values: what `prepared` gave.
     """
     from .language import label_language
 
-    values = prepared(df, id_col, text_col, source_col, lang_col)
+    values = prepared(df, id_col, text_col, source_col, lang_col) if values is None else values
     if model is None:
         model = train(values, require(refs, "lang", "ref_text").where("ref_text is not null"))
     shared = df.sparkSession.sparkContext.broadcast((model, residue))
-    judged = values if rows is None else values.join(rows.select(F.col(id_col).alias("id")), "id", "left_semi")
+    judged = values if rows is None else with_ids(values, rows, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored, other = shared.value

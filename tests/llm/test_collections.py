@@ -53,21 +53,37 @@ def test_near_captions_against_brute_force(spark):
     want = {(i, j) for j in range(len(texts)) for i in range(j) if min(len(sets[i]), len(sets[j])) >= 8 and jaccard(sets[i], sets[j]) >= 0.7}
     got = [(r.id_a, r.id_b) for r in neardup.near_captions(rows).collect()]
     assert len(got) == len(set(got)) and set(got) <= want and len(got) >= 0.98 * len(want)
-    left = {(r.id_a, r.id_b) for r in neardup.near_captions(rows, leave_out=lambda t: t.where("pair_id % 5 = 0").selectExpr("pair_id as id")).collect()}
+    left = {(r.id_a, r.id_b) for r in neardup.near_captions(rows, leave_out=lambda ids: ids.where("id % 5 = 0")).collect()}
     assert left == {p for p in got if p[0] % 5 and p[1] % 5}
     assert neardup.near_captions(rows.limit(0)).count() == 0
 
 
-def test_dart_signatures_estimate_weighted_similarity():
+def test_first_darts_fall_by_weight():
     rng = np.random.default_rng(1)
-    a, b = rng.integers(0, 2**63, 40).astype(np.uint64), rng.integers(0, 2**63, 20).astype(np.uint64)
-    both = np.concatenate([a[:20], b])
-    weights = {int(x): w for x, w in zip(np.concatenate([a, b]), rng.uniform(0.05, 1, 60))}
-    doc = np.repeat([0, 1], [40, 40])
-    items = np.concatenate([a, both])
-    sig = neardup.dart_signature(doc, items, np.array([weights[int(x)] for x in items]), 2, 2048)
-    true = sum(weights[int(x)] for x in a[:20]) / sum(weights.values())
-    assert (sig[0] == sig[1]).mean() == pytest.approx(true, abs=0.05)
+    count = rng.choice([2, 5, 40], 30)
+    common = np.arange(30) < 12  # words of both of two records; the first dart of all is theirs as often as their weight is
+    words = rng.integers(0, 2**63, (20_000, 30)).astype(np.uint64)
+    first = neardup.first_darts(words, count).argmin(1)
+    assert common[first].mean() == pytest.approx((1 / count[common]).sum() / (1 / count).sum(), abs=0.015)
+
+
+def test_close_hashes_under_dense_keys(monkeypatch):
+    rng = np.random.default_rng(2)
+    value = rng.integers(0, 2**63, 40).astype(np.uint64).repeat(6) ^ (np.uint64(1) << rng.integers(0, 64, 240).astype(np.uint64))
+    want = {(i, j) for j in range(240) for i in range(j) if int(value[i] ^ value[j]).bit_count() <= 5}
+    for dense in (1_000, 50):
+        monkeypatch.setattr(neardup, "DENSE", dense)
+        a, b = neardup._close(np.zeros(240, np.uint64), value, 5)
+        assert {(min(x, y), max(x, y)) for x, y in zip(a.tolist(), b.tolist())} == want
+    assert all(len(neardup.hash_masks(n, 5)) == k for n, k in ((1000, 21), (10**8, 126)))
+
+
+def test_large_classes_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SALT_ROWS", 7)
+    members = spark.createDataFrame([(1, i, 40) for i in range(40)] + [(2, 100 + i, 3) for i in range(3)], "rep bigint, id bigint, n bigint")
+    links = spark.createDataFrame([(2, 1)], "rep_a bigint, rep_b bigint")
+    got = [tuple(r) for r in neardup._sided(links, members).collect()]
+    assert len(got) == 120 and set(got) == {(i, 100 + j) for i in range(40) for j in range(3)}
 
 
 def test_near_hashes_are_lossless(spark):
