@@ -35,7 +35,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back. It survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/capstrata/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -206,10 +206,11 @@ def validated_margin(model: CharModel, trusted: list[str]) -> float:
     return max(0.0, worst[allowed] if allowed < len(worst) else 0.0)
 
 
-def train(texts: DataFrame, refs: DataFrame, ref_col: str = "ref_text") -> tuple[CharModel, float]:
-    """The model of all clean rows of a one-column table, and the margin that the trusted texts (a bounded table) allow."""
+def train(texts: DataFrame, refs: DataFrame, ref_col: str = "ref_text", sure: bool = False) -> tuple[CharModel, float]:
+    """The model of all clean rows of a one-column table, and the margin that the trusted texts (a bounded table) allow.
+    sure: all rows are known to be clean."""
     trusted = [r[0] for r in require(refs, ref_col).where(f"`{ref_col}` is not null").collect()]
-    model = CharModel(count_ngrams(texts, clean))
+    model = CharModel(count_ngrams(texts, list if sure else clean))
     return model, validated_margin(model, trusted)
 
 

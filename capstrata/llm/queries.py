@@ -19,7 +19,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def left_out(ids: DataFrame) -> DataFrame:
         """Cut and garbled captions don't count: their models see all rows, but only rows of pairs are judged."""
-        trained = encoding.train(pairs.select("caption"), refs)
+        trained = encoding.train(values.where("clean").select(F.coalesce("raw", "text")), refs, sure=True)
         rows = with_ids(pairs.select("pair_id", "caption"), ids, "pair_id")
         garbled = encoding.repaired(rows, refs, trained=trained).where("garbled").select("id")
         cut = truncation.truncated(pairs, refs, rows=ids, residue=residue.train(pairs), values=values).where("cut").select("id")

@@ -79,14 +79,19 @@ def closed(texts: list[str]) -> np.ndarray:
     return np.array([t[-1:] != "" and t[-1] in CLOSING_SIGNS for t in texts], bool)
 
 
-def normal(text: str) -> str:
-    """The value in one form, decoded as UTF-8 where it plainly was taken for another charset."""
+def formed(text: str) -> tuple[str, bool]:
+    """The value in one form, decoded as UTF-8 where it plainly was taken for another charset; and whether it was not."""
     if text.isascii():
-        return text.rstrip()
-    if not encoding.clean([text]):
+        return text.rstrip(), True
+    clean = bool(encoding.clean([text]))
+    if not clean:
         found = encoding.candidates(text, True)
         text = found[-1][0] if found else text
-    return repair(text).rstrip()
+    return repair(text).rstrip(), clean
+
+
+def normal(text: str) -> str:
+    return formed(text)[0]
 
 
 class Masked:
@@ -178,12 +183,11 @@ class Masked:
 
     def word_contexts(self, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         """Slots of the letters before `end`, inside words that begin at `begin`."""
-        out, h = [], np.zeros(len(end), np.uint64)
-        for back in range(1, max(WORD_ORDERS) + 1):
-            at = end - back
-            h = mix(h * np.uint64(31) + np.where(at >= begin, self.lower[np.maximum(at, 0)], np.uint64(2)))
-            if back in WORD_ORDERS:
-                out.append((h >> np.uint64(64 - BITS)).astype(np.int64))
+        power, inverse = _powers(len(self.total))
+        upto, out = self.total[end], []
+        for k in WORD_ORDERS:
+            low = np.maximum(end - k, begin)  # a shorter context reaches back to the word's start
+            out.append((mix((upto - self.total[low]) * inverse[low] + np.uint64(k)) >> np.uint64(64 - BITS)).astype(np.int64))
         return out
 
 
@@ -373,16 +377,20 @@ def with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def prepared(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """(id, text, source, lang, excess, share): every row with its text in one form; null texts are empty."""
+    """(id, text, source, lang, excess, share, clean, raw): every row with its text in one form; null texts are empty. clean:
+    whether nothing in it was decoded wrongly; raw: a clean text as it was, where it was in another form."""
     base = require(df, id_col, text_col, source_col, lang_col).toDF("id", "text", "source", "lang")
     rows = with_source(base, by_source(base, "source", "text")).select("id", "text", "source", "lang", "excess", F.coalesce("share", F.lit(1.0)).alias("share"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([normal(t) if t else "" for t in batch.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), texts, *batch.columns[2:]], batch.schema.names)
+            raw = batch.column(1).to_pylist()
+            texts, clean = zip(*(formed(t) if t else ("", False) for t in raw)) if raw else ((), ())
+            other = [a if c and a != b else None for a, b, c in zip(raw, texts, clean)]
+            added = [pa.array(clean, pa.bool_()), pa.array(other, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), *batch.columns[2:], *added], [*batch.schema.names, "clean", "raw"])
 
-    return materialize(rows.mapInArrow(run, rows.schema), "values")
+    return materialize(rows.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", clean boolean, raw string"), "values")
 
 
 def train(values: DataFrame, refs: DataFrame) -> StoredModel:
@@ -410,8 +418,8 @@ def train(values: DataFrame, refs: DataFrame) -> StoredModel:
 
         def add(slots: np.ndarray, ends: np.ndarray, times: np.ndarray | None = None) -> None:
             table = next(tables)
-            for k, (s, n) in enumerate(((slots, times), (slots[ends], None if times is None else times[ends]))):
-                table[k] += np.bincount(s, n, table.shape[1]).astype(np.int32)
+            np.add.at(table[0], slots, np.int32(1) if times is None else times.astype(np.int32))
+            np.add.at(table[1], slots[ends], np.int32(1) if times is None else times[ends].astype(np.int32))
 
         slots, ends, at, _ = row.contexts()
         owner = np.searchsorted(row.place[row.text_end], at)
