@@ -57,11 +57,21 @@ def simhash_of(parts: list[str], bits: int = BITS) -> int:
 
 @F.pandas_udf(LongType())
 def _simhash_udf(text: pd.Series) -> pd.Series:
-    def one(value: str | None, k: int = 3) -> int:
+    """Digests of all rows' shingles laid end to end; the votes of a row are sums over its stretch."""
+    k, digests, sizes = 3, [], []
+    for value in text:
         tokens = (value or "").lower().split()
-        return simhash_of(tokens if len(tokens) < k else [" ".join(tokens[i : i + k]) for i in range(len(tokens) - k + 1)])
-
-    return text.map(one)
+        parts = tokens if len(tokens) < k else map(" ".join, zip(*(tokens[i:] for i in range(k))))
+        before = len(digests)
+        digests += [hashlib.md5(p.encode("utf-8", "replace")).digest()[8:] for p in parts]
+        sizes.append(len(digests) - before)
+    out, size = np.zeros(len(text), np.uint64), np.array(sizes, np.int64)
+    if digests:
+        full = np.flatnonzero(size)
+        bits = np.unpackbits(np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 8), axis=1)
+        votes = np.add.reduceat(bits, (np.cumsum(size) - size)[full], axis=0, dtype=np.int32) * 2 > size[full, None]
+        out[full] = np.packbits(votes, axis=1).view(">u8").ravel()
+    return pd.Series(out.view(np.int64))
 
 
 def simhash(text: Column) -> Column:

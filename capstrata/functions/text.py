@@ -81,15 +81,31 @@ def has_repeated_ngrams(text: Column, n: int = 4, max_repeat: int = 3) -> Column
     def again(grams: Column) -> Column:
         return F.exists(F.sequence(F.lit(0), F.size(grams) - max_repeat), lambda i: F.get(grams, i) == F.get(grams, i + (max_repeat - 1)))
 
+    def several(grams: Column) -> Column:
+        # Hardly any text has equal n-grams at all: only those that have enough of them are sorted.
+        equal = F.size(grams) - F.size(F.array_distinct(grams))
+        return F.when(equal < max_repeat - 1, F.lit(False)).otherwise(bound(F.sort_array(grams), again))
+
     def test(tokens: Column) -> Column:
         grams = F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(tokens, i, n)))
-        return F.when(F.size(tokens) < n * max_repeat, F.lit(False)).otherwise(bound(F.array_sort(grams), again))
+        return F.when(F.size(tokens) < n * max_repeat, F.lit(False)).otherwise(bound(grams, several))
+
+    return F.when(F.length(text) < 2 * n * max_repeat - 1, F.lit(False)).otherwise(bound(words(text), test))
+
 
-    return bound(words(text), test)
+def spam_flag(text: Column, name: str) -> Column:
+    """Whether the pattern of that name is found; what every match holds is looked for first, as patterns cost more."""
+    needed = {
+        "url": F.contains(text, F.lit("www.")),
+        "email": F.contains(text, F.lit("@")),
+        "call": F.contains(F.lower(text), F.lit("now")),
+        "non_ascii": F.octet_length(text) - F.length(text) >= 20,
+    }
+    return needed[name] & text.rlike(SPAM[name])
 
 
 def is_spam(text: Column) -> Column:
-    found = [text.rlike(p) for p in SPAM.values()]
+    found = [spam_flag(text, name) for name in SPAM]
     return found[0] | found[1] | found[2] | found[3]
 
 

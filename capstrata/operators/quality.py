@@ -12,19 +12,20 @@ OK = "ok"
 
 
 def text_reason(cleaned: Column, config: FilterConfig = FilterConfig()) -> Column:
-    """The first rule that a cleaned text fails. Null is taken for an empty text."""
-    text = F.coalesce(cleaned, F.lit(""))
-    size, count = F.length(text), T.count_words(text)
-    reason = (
-        F.when(size < config.min_text_len, "too_short")
-        .when(size > config.max_text_len, "too_long")
-        .when(count < config.min_word_count, "too_few_words")
-        .when(count > config.max_word_count, "too_many_words")
-        .when(T.is_spam(text), "spam_pattern")
-    )
-    if config.check_repeated_ngrams:
-        reason = reason.when(T.has_repeated_ngrams(text), "repeated_ngrams")
-    return reason.otherwise(OK)
+    """The first rule that a cleaned text fails. Null is taken for an empty text. The text and its number of words are
+    computed once, and no rule is looked at behind the one that failed."""
+
+    def by_count(text: Column, count: Column) -> Column:
+        reason = F.when(count < config.min_word_count, "too_few_words").when(count > config.max_word_count, "too_many_words").when(T.is_spam(text), "spam_pattern")
+        if config.check_repeated_ngrams:
+            reason = reason.when(T.has_repeated_ngrams(text), "repeated_ngrams")
+        return reason.otherwise(OK)
+
+    def by_size(text: Column) -> Column:
+        size = F.length(text)
+        return F.when(size < config.min_text_len, "too_short").when(size > config.max_text_len, "too_long").otherwise(T.bound(T.count_words(text), lambda count: by_count(text, count)))
+
+    return T.bound(F.coalesce(cleaned, F.lit("")), by_size)
 
 
 def image_reason(width: Column, height: Column, config: FilterConfig = FilterConfig()) -> Column:

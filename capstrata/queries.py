@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import FilterConfig, PipelineConfig
@@ -15,6 +15,7 @@ from .operators import dedup as D
 from .operators import quality as Q
 from .operators import scoring as S
 from .plans.pipeline import augmented, run_stages
+from .session import spread
 from .sources.jsonl import drop_blocked, parse_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +38,7 @@ def clean_whitespace(spark, sf_dir):
 
 
 def clean_text(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("pair_id", T.clean_text(F.col("caption")).alias("cleaned"))
+    return spread(_pairs(spark, sf_dir)).select("pair_id", T.clean_text(F.col("caption")).alias("cleaned"))
 
 
 def word_count(spark, sf_dir):
@@ -53,7 +54,10 @@ def repeated_ngrams(spark, sf_dir):
 
 
 def spam_flags(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("pair_id", *[_squeezed().rlike(p).alias(n) for n, p in T.SPAM.items()])
+    def flag(name: str):
+        return T.bound(_squeezed(), lambda text: T.spam_flag(text, name)).alias(name)
+
+    return _pairs(spark, sf_dir).select("pair_id", *map(flag, T.SPAM))
 
 
 def digests(spark, sf_dir):
@@ -74,7 +78,7 @@ def noun_phrase(spark, sf_dir):
 
 
 def text_reason(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("pair_id", Q.text_reason(_squeezed()).alias("reason"))
+    return spread(_pairs(spark, sf_dir)).select("pair_id", Q.text_reason(_squeezed()).alias("reason"))
 
 
 def reason_funnel(spark, sf_dir):
@@ -110,7 +114,7 @@ def jsonl_records(spark, sf_dir):
 
 def _with_images(spark, sf_dir) -> DataFrame:
     images = _table(spark, sf_dir, "images").select("image", "width", "height", H.from_hex64(F.col("phash")).alias("image_hash"))
-    return _pairs(spark, sf_dir, "image", "caption", "score", "key").join(images, "image", "left")
+    return spread(_pairs(spark, sf_dir, "image", "caption", "score", "key")).join(images, "image", "left")
 
 
 def quality_stats(spark, sf_dir):
@@ -124,7 +128,14 @@ def exact_dedup(spark, sf_dir):
 
 
 def simhash(spark, sf_dir):
-    return _pairs(spark, sf_dir).select("pair_id", H.hex64(H.simhash(F.col("caption"))).alias("simhash"))
+    return spread(_pairs(spark, sf_dir)).select("pair_id", H.hex64(H.simhash(F.col("caption"))).alias("simhash"))
+
+
+def hamming_pairs(spark, sf_dir):
+    """Pictures of one size whose hashes differ, and by how many bits: neighbours in the order of their ids."""
+    images = _table(spark, sf_dir, "images").where("phash is not null").select("image_id", "width", "height", H.from_hex64(F.col("phash")).alias("hash"))
+    before = F.lag("hash").over(Window.partitionBy("width", "height").orderBy("image_id"))
+    return images.withColumn("before", before).where("before is not null").select("image_id", H.hamming(F.col("hash"), F.col("before")).cast("bigint").alias("bits"))
 
 
 def image_dedup(spark, sf_dir):
@@ -133,7 +144,7 @@ def image_dedup(spark, sf_dir):
 
 
 def text_dedup(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).select("pair_id", H.simhash(F.col("caption")).alias("hash"))
+    rows = spread(_pairs(spark, sf_dir)).select("pair_id", H.simhash(F.col("caption")).alias("hash"))
     return D.greedy_near_duplicates(rows, "hash", "pair_id", 3)
 
 
@@ -143,12 +154,12 @@ def dedup_funnel(spark, sf_dir):
 
 
 def template_augment(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).where("caption is not null")
+    rows = spread(_pairs(spark, sf_dir)).where("caption is not null")
     return rows.select("pair_id", F.posexplode(A.template_variants(F.col("caption"), F.col("pair_id"), 3)).alias("draw", "variant"))
 
 
 def synonym_augment(spark, sf_dir):
-    rows = _pairs(spark, sf_dir).where("caption is not null")
+    rows = spread(_pairs(spark, sf_dir)).where("caption is not null")
     return rows.select("pair_id", A.substitute_synonyms(F.col("caption"), F.col("pair_id")).alias("variant"))
 
 
@@ -189,7 +200,7 @@ def queries() -> dict[str, Query]:
     named = (
         clean_whitespace, clean_text, word_count, mostly_ascii, repeated_ngrams, spam_flags, digests, shingle_count, prefix_keys, noun_phrase,
         text_reason, reason_funnel, passing_captions, image_reason, score_filter, language_filter, blocked_images, jsonl_records, quality_stats,
-        exact_dedup, simhash, image_dedup, text_dedup, dedup_funnel, template_augment, synonym_augment, augmented_captions, cosine_filter,
+        exact_dedup, simhash, hamming_pairs, image_dedup, text_dedup, dedup_funnel, template_augment, synonym_augment, augmented_captions, cosine_filter,
         run_stats_latest, pipeline_stats, pipeline_rows,
     )
     return {f.__name__: f for f in named}

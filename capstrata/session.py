@@ -21,6 +21,13 @@ def setup_logging(level: str = "INFO") -> None:
     logging.basicConfig(level=getattr(logging, level.upper(), logging.INFO), format="%(asctime)s %(levelname)s %(name)s: %(message)s")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores where its scan has fewer partitions than there are, as of a file with few row groups; a scan of
+    many files stays as it is. For work that costs more than moving the rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df checkpointed to the shared folder: it survives the loss of executors."""
     context = df.sparkSession.sparkContext

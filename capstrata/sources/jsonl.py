@@ -16,7 +16,7 @@ def parse_lines(df: DataFrame, line: str = "value", min_score: float | None = 0.
     A missing or null score counts as 1.0; a score that is no number, NaN or below min_score drops the row (None: no
     test). A missing caption is "". compat: a line that is not an object, or a score that is no number, raises.
     """
-    source = df.withColumn("_r", F.from_json(F.col(line), RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true"}))
+    source = df.withColumn("_r", F.from_json(F.col(line), RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "true", "allowSingleQuotes": "false"}))
     is_object = F.col(line).rlike(r"^\s*\{") & F.col("_r._corrupt").isNull()
     given = F.col("_r.score")
     score = F.when(given.isNull(), F.lit(1.0)).otherwise(F.expr("try_cast(_r.score as double)"))
@@ -38,7 +38,7 @@ def read_jsonl(spark: SparkSession, path: str, min_score: float | None = 0.0, co
 def read_jsonl_strict(spark: SparkSession, path: str) -> DataFrame:
     """As read_jsonl, without a test of the score; a broken line fails the job. Blank lines are skipped."""
     lines = spark.read.text(path).withColumn("ord", F.monotonically_increasing_id()).where(strip(F.col("value")) != "")
-    parsed = lines.withColumn("_r", F.from_json("value", "image string, caption string, score string, key string", {"mode": "FAILFAST"}))
+    parsed = lines.withColumn("_r", F.from_json("value", "image string, caption string, score string, key string", {"mode": "FAILFAST", "allowSingleQuotes": "false"}))
     return parsed.select("value", "ord", "_r.image", F.coalesce("_r.caption", F.lit("")).alias("caption"), F.expr("try_cast(_r.score as double)").alias("score"), "_r.key")
 
 

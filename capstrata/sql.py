@@ -1,4 +1,4 @@
-"""SQL for DuckDB of the core queries. The greedy removal and what needs Unicode normalization have none."""
+"""SQL for DuckDB of the core queries. What needs Unicode normalization has none."""
 
 from __future__ import annotations
 
@@ -45,6 +45,39 @@ _NUMBER = "('0x' || substr({}, {}, 8))::UBIGINT"
 _SHINGLES = "CASE WHEN len(w) < 3 THEN w ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END"
 
 
+_SIMHASHED = f"""
+words AS (SELECT pair_id, {_words(_CAPTION)} AS w FROM pairs),
+hashed AS (SELECT pair_id, list_transform({_SHINGLES}, lambda s: ('0x' || substr(md5(s), 17, 16))::UBIGINT) AS h FROM words),
+simhashed AS (SELECT pair_id, list_sum(list_transform(range(0, 64), lambda i: CASE WHEN 2 * len(list_filter(h, lambda x: (x >> i::UBIGINT) & 1 = 1)) > len(h) THEN 1::UBIGINT << i::UBIGINT ELSE 0::UBIGINT END))::UBIGINT AS h FROM hashed)"""
+
+
+def _greedy(p: str, rows: str, threshold: int) -> str:
+    """Common tables, {p}_dropped last: the rows (ord, h) that fall when each row in order is kept unless it is near a kept one.
+
+    Equal hashes collapse to their first row; the rest goes through a recursion with one step for each row that is near
+    another one, which carries the list of those kept so far.
+    """
+    return f"""
+{p}_firsts AS (SELECT h, min(ord) AS ord FROM {rows} WHERE h IS NOT NULL GROUP BY h),
+{p}_edges AS (SELECT a.ord AS src, b.ord AS dst FROM {p}_firsts a JOIN {p}_firsts b ON a.ord < b.ord AND bit_count(xor(a.h, b.h)) <= {threshold}),
+{p}_nodes AS (SELECT ord, row_number() OVER (ORDER BY ord) AS k FROM (SELECT src AS ord FROM {p}_edges UNION SELECT dst FROM {p}_edges)),
+{p}_near AS (SELECT n.k, list(m.k) AS earlier FROM {p}_edges e JOIN {p}_nodes n ON n.ord = e.dst JOIN {p}_nodes m ON m.ord = e.src GROUP BY n.k),
+{p}_steps(k, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.k, CASE WHEN coalesce(list_has_any(s.kept, b.earlier), false) THEN s.kept ELSE list_append(s.kept, n.k) END
+  FROM {p}_steps s JOIN {p}_nodes n ON n.k = s.k + 1 LEFT JOIN {p}_near b ON b.k = n.k),
+{p}_kept AS (SELECT unnest(kept) AS k FROM (SELECT kept FROM {p}_steps ORDER BY k DESC LIMIT 1)),
+{p}_dropped AS (SELECT ord FROM {rows} r WHERE h IS NOT NULL AND ord NOT IN (SELECT ord FROM {p}_firsts) UNION ALL SELECT ord FROM {p}_nodes WHERE k NOT IN (SELECT k FROM {p}_kept))"""
+
+
+_PHASH = "CASE WHEN regexp_full_match(phash, '[0-9a-fA-F]{16}') THEN ('0x' || phash)::UBIGINT END"
+_FUNNEL = f"""
+firsts AS (SELECT min(pair_id) AS pair_id FROM pairs GROUP BY coalesce(key, {_PREFIX})),
+pictured AS (SELECT pair_id AS ord, {_PHASH} AS h FROM firsts JOIN pairs USING (pair_id) LEFT JOIN images ON pairs.image = images.image),
+{_greedy('by_image', 'pictured', 5)},
+{_SIMHASHED},
+worded AS (SELECT pair_id AS ord, h FROM simhashed JOIN firsts USING (pair_id) WHERE pair_id NOT IN (SELECT ord FROM by_image_dropped)),
+{_greedy('by_text', 'worded', 3)}"""
+
+
 def oracle_sql() -> dict[str, str]:
     out = {
         "clean_whitespace": rf"SELECT pair_id, trim(regexp_replace(caption, '{_S}+', ' ', 'g'), ' ') AS cleaned FROM pairs",
@@ -84,6 +117,19 @@ options AS (SELECT *, {_SYNONYM_MAP}[lower(bare)] AS o FROM looked),
 picked AS (SELECT *, CASE WHEN o IS NOT NULL AND len(o) > 0 AND {_NUMBER.format('d', 1)} < {int(0.3 * 2**32)} THEN o[1 + ({_NUMBER.format('d', 9)} % len(o))::INT] END AS r FROM options),
 done AS (SELECT pair_id, i, CASE WHEN r IS NULL THEN w ELSE (CASE WHEN w[1] <> lower(w[1]) THEN upper(r[1]) || r[2:] ELSE r END) || substr(w, length(bare) + 1) END AS x FROM picked)
 SELECT p.pair_id, coalesce(s.v, '') AS variant FROM (SELECT pair_id FROM pairs WHERE caption IS NOT NULL) p LEFT JOIN (SELECT pair_id, string_agg(x, ' ' ORDER BY i) AS v FROM done GROUP BY pair_id) s USING (pair_id)""",
+        "hamming_pairs": f"""
+SELECT image_id, bit_count(xor(h, earlier))::BIGINT AS bits FROM (SELECT image_id, h, lag(h) OVER (PARTITION BY width, height ORDER BY image_id) AS earlier FROM (SELECT image_id, width, height, {_PHASH} AS h FROM images WHERE phash IS NOT NULL))
+WHERE earlier IS NOT NULL AND h IS NOT NULL""",
+        "image_dedup": f"WITH RECURSIVE hashes AS (SELECT image_id AS ord, {_PHASH} AS h FROM images), {_greedy('g', 'hashes', 5)} SELECT ord AS image_id FROM g_dropped",
+        "text_dedup": f"WITH RECURSIVE {_SIMHASHED}, hashes AS (SELECT pair_id AS ord, h FROM simhashed), {_greedy('g', 'hashes', 3)} SELECT ord AS pair_id FROM g_dropped",
+        "dedup_funnel": f"""
+WITH RECURSIVE {_FUNNEL}
+SELECT total, total - (SELECT count(*) FROM firsts) AS exact_dup, (SELECT count(*) FROM by_image_dropped) AS image_dup, (SELECT count(*) FROM by_text_dropped) AS text_dup,
+(SELECT count(*) FROM firsts) - (SELECT count(*) FROM by_image_dropped) - (SELECT count(*) FROM by_text_dropped) AS kept FROM (SELECT count(*) AS total FROM pairs)""",
+        "jsonl_records": r"""
+WITH parsed AS (SELECT line_id, raw_line::JSON AS r FROM raw_lines WHERE json_valid(raw_line) AND regexp_matches(raw_line, '^\s*\{')),
+fields AS (SELECT line_id, r ->> '$.image' AS image, coalesce(r ->> '$.caption', '') AS caption, r ->> '$.score' AS given FROM parsed)
+SELECT * FROM (SELECT line_id, image, caption, CASE WHEN given IS NULL THEN 1.0 ELSE try_cast(given AS DOUBLE) END AS score FROM fields) WHERE score >= 0 AND NOT isnan(score)""",
         "cosine_filter": """
 WITH each AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
 centres AS (SELECT label, list(m ORDER BY i) AS centre FROM (SELECT label, i, avg(x) AS m FROM each GROUP BY label, i) GROUP BY label),

@@ -52,7 +52,6 @@ def test_augmentation(spark):
     all_words = rows.where("pair_id = 1").select(A.substitute_synonyms(F.col("caption"), F.col("pair_id"), p=1.0).alias("v")).first().v
     first, last = all_words.split()[1], all_words.rsplit(" ", 1)[-1]
     assert first in A.SYNONYMS["large"] and all_words.endswith(".") and last != "standing."
-    assert len(A.template_draws("A dog playing fetch.", 3)) == 3 and A.template_draws("A dog.", 1, 42) == ["A dog."]
 
 
 def test_back_translation_keeps_rows_on_failure(spark):
