@@ -32,16 +32,16 @@ TRUSTED = [
     r"\{\{[^{}]*\}\}", r"\$\{[^{}]*\}", r"#\{[^{}]*\}", r"\{%.*%\}", r"<%.*%>", r"%\(\w+\)s", r"%[sd]", r"@@\w+@@", r"__[a-z_]{3,}__", r"\[\[[^\[\]]*\]\]", r"\[object \w+\]", r"\{[a-z_.]+\}",
     r"<(?:your )?[a-z]+(?: [a-z]+)?>", r"\[[^\[\]]* goes here\]", r"\[insert [^\[\]]* here\]",
     r"lorem ipsum.*", r"(?:dolor sit amet|consectetur adipiscing).*", r"(?:blah ?){2,}", r"(?:x{3,} ?){2,}", r"(?:dummy|sample|placeholder|test)(?: (?:dummy|text|test|caption))+(?: \d+)?", r"tbd|todo.*|asdf.*|untitled|undefined|null|n/a|nan",
-    r"(?:sample|dummy|placeholder) text.*", r"your (?:caption|text|title) (?:goes )?here", r"(?:write|type|enter|add|insert) (?:a|an|your|some|something)\b.*(?:caption|description|photo|text|here).*",
+    r"(?:some )?(?:sample|dummy|placeholder|example) (?:text|wording|caption).*", r"your (?:caption|text|title) (?:goes )?here", r"(?:write|type|enter|add|insert) (?:a|an|your|some|something)\b.*(?:caption|description|photo|text|here).*",
     r"(?:oops!? ?)?(?:http |error |server said |status code )?(?:http |error )?[45]\d\d[: -]*(?:not found|forbidden|bad gateway|service unavailable|access denied|internal (?:server )?error|too many requests|gone|bad request|gateway timeout|unauthorized)?",
     r"(?:not found|access denied|forbidden|bad gateway|service unavailable|internal (?:server )?error|too many requests|gateway timeout|page not found|image removed|image not available)",
     r"(?:please )?(?:enable|turn on|activate|switch on) javascript.*", r"javascript (?:is|must be) .*", r".*scripts? (?:is|are) (?:blocked|disabled|required).*", r"(?:please )?accept (?:all )?cookies.*", r"(?:prove|confirm) (?:that )?you are (?:not a robot|human).*", r"(?:your )?browser is being checked.*", r"checking your browser.*", r".*without script support.*", r".*no longer (?:on this server|available).*",
-    r"bildbeschreibung.*ergänzen", r"hier steht ihr.*", r"bitte javascript.*", r".*(?:benötigt|braucht) (?:aktive )?skripte.*", r"seite nicht gefunden.*", r"zugriff verweigert.*", r"dienst .*nicht (?:erreichbar|verfügbar).*", r"das bild wurde entfernt.*", r"platzhaltertext.*",
-    r"veuillez activer.*", r"votre (?:légende|texte) ici", r"légende à compléter", r".*exige les scripts.*", r"page (?:introuvable|non trouvée).*", r"accès refusé.*", r"service (?:momentanément )?indisponible.*", r"l.image a été supprimée.*",
-    r"active javascript.*", r".*necesita scripts.*", r"escriba aquí.*", r"página no encontrada.*", r"acceso denegado.*", r"servicio no disponible.*", r"la imagen (?:fue|ha sido) .*", r"texto de relleno.*",
-    r"ative o javascript.*", r".*precisa de scripts.*", r"escreva aqui.*", r"legenda por preencher.*", r"página não encontrada.*", r"acesso negado.*", r"serviço indisponível.*", r"a imagem foi removida.*",
-    r"включите javascript.*", r".*нужны скрипты.*", r"здесь будет.*", r"добавьте описание.*", r"страница не найдена.*", r"доступ запрещ[её]н.*", r"сервис (?:временно )?недоступен.*", r"изображение удалено.*",
-    r"请(?:启用|开启|输入|填写).*", r"此处填写.*", r"浏览器未(?:开启|启用).*", r".*需要(?:启用)?脚本.*", r"(?:页面|网页)(?:不存在|未找到).*", r"拒绝访问.*", r"(?:服务)(?:暂时|暂)?不可用.*", r"图片(?:已被|已)删除.*", r"示例文字.*",
+    r"bildbeschreibung.*ergänzen", r"hier steht ihr.*", r"bitte javascript.*", r".*(?:benötigt|braucht) (?:aktive )?skripte.*", r"seite nicht gefunden.*", r"zugriff verweigert.*", r"dienst .*nicht (?:erreichbar|verfügbar).*", r"(?:das|dieses) bild wurde (?:entfernt|gelöscht).*", r"(?:platzhalter|beispiel|blind)text.*", r"zu viele anfragen.*", r"beschreibung folgt.*",
+    r"veuillez activer.*", r"votre (?:légende|texte) ici", r"légende à compléter", r".*exige les scripts.*", r"page (?:introuvable|non trouvée).*", r"accès refusé.*", r"service (?:momentanément )?indisponible.*", r"(?:l.|cette )image a été (?:supprimée|retirée).*", r"(?:texte d.exemple|exemple de texte|texte de remplissage).*", r"trop de requêtes.*", r"description à venir.*",
+    r"active javascript.*", r".*necesita scripts.*", r"escriba aquí.*", r"página no encontrada.*", r"acceso denegado.*", r"servicio no disponible.*", r"la imagen (?:fue|ha sido) .*", r"texto de (?:relleno|ejemplo|muestra).*", r"demasiadas (?:solicitudes|peticiones).*", r"descripción pendiente.*",
+    r"ative o javascript.*", r".*precisa de scripts.*", r"escreva aqui.*", r"legenda por preencher.*", r"página não encontrada.*", r"acesso negado.*", r"serviço indisponível.*", r"a imagem foi (?:removida|excluída).*", r"texto de (?:exemplo|preenchimento).*", r"demasiados pedidos.*|muitas solicitações.*", r"descrição pendente.*",
+    r"включите javascript.*", r".*нужны скрипты.*", r"здесь будет.*", r"добавьте описание.*", r"страница не найдена.*", r"доступ запрещ[её]н.*", r"сервис (?:временно )?недоступен.*", r"изображение удалено.*", r"(?:пример|образец) текста.*", r"слишком много запросов.*", r"описание (?:появится|будет).*",
+    r"请(?:启用|开启|输入|填写).*", r"此处填写.*", r"浏览器未(?:开启|启用).*", r".*需要(?:启用)?脚本.*", r"(?:页面|网页)(?:不存在|未找到).*", r"拒绝访问.*", r"(?:服务)(?:暂时|暂)?不可用.*", r"图片(?:已被|已)删除.*", r"(?:示例|占位)(?:文字|文本).*", r"请求过于频繁.*|请求过多.*", r"描述待(?:补充|添加).*",
 ]
 _trusted = re.compile("(?:" + "|".join(TRUSTED) + r")(?: ?\([0-9a-f]{3,}\))?[.!?…]*", re.I)
 _bracketed = re.compile(r"\{\{.*?\}\}|\{%.*?%\}|<%.*?%>|[$#]?\{[^{}]*\}|%\(\w+\)s|%[sd](?!\w)|@@\w+@@|__\w+?__|\[\[[^\[\]]*\]\]|\[[^\[\]]*\]|<[^<>]{1,40}>")
@@ -122,9 +122,25 @@ class Residue:
         return self.score(text) > LEAST
 
 
+def plain_matches() -> list[str]:
+    """The plainest match of each trusted pattern, where it has one: it stands for the pattern that no row of a sample matches."""
+    out = []
+    for pattern in TRUSTED:
+        for one in pattern.split("|") if "(" not in pattern else [pattern]:
+            text, old = one, None
+            while text != old:  # the first choice of each group, nothing for what may be left out
+                text, old = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)(?:\?|\{2,\})?", r"\1", text), text
+            text = re.sub(r"\.\*|\\b|.\?", "", text).replace(r"d.", "d'").replace("l.", "l'")
+            if not re.search(r"[\\()\[\]{}+*?^$]", text) and _trusted.fullmatch(text):
+                out.append(text)
+    return out
+
+
 def learn(texts: list[str]) -> Residue:
     """Positive-unlabelled naive Bayes by expectation-maximization over the passages of a bounded sample."""
     counted = Counter(p for t in texts if t for p in passages(repair(t)))
+    for p in plain_matches() if counted else []:
+        counted[p] = max(counted[p], 2)
     sure = {p for p in counted if _trusted.fullmatch(p)}
     words = Counter()
     for p, n in counted.items():
