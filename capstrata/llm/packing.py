@@ -2,13 +2,15 @@
 
 Items are spread over blocks of about BLOCK_ITEMS by a hash of their id. On each block several islands evolve their own
 populations of packings; the best of each island migrate to the next one between epochs, in a shuffle. Crossover puts
-well-filled containers of one parent into the other, removes containers that hold one of the same items, and places the
-displaced items by best fit.
+well-filled containers of one parent into the other, removes containers that hold one of the same items, lets displaced
+items take the place of smaller ones where a container becomes fuller, and places the rest by best fit. An island rests
+when its best packing has as few containers as the sum of the sizes needs.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -20,7 +22,7 @@ from .common import materialize
 
 CAPACITY = 2048
 BLOCK_ITEMS = 4000
-ISLANDS, EPOCHS, POPULATION, GENERATIONS, ELITE = 2, 2, 6, 10, 2
+ISLANDS, EPOCHS, POPULATION, GENERATIONS, ELITE = 2, 2, 8, 60, 2
 
 Packing = list[list[int]]
 
@@ -47,6 +49,43 @@ def fitness(sizes: list[int], bins: Packing, capacity: int) -> tuple[int, float]
     return -len(bins), sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins)
 
 
+def replace(sizes: list[int], bins: Packing, displaced: list[int], capacity: int, rng: np.random.Generator, most: int = 400) -> list[int]:
+    """Displaced items take the place of one or two items of a container that they fill better, in `most` containers or
+    fewer, picked at random; the items that have no place then, smaller ones on the whole."""
+    free = sorted((sizes[i], i) for i in displaced)
+    for k in rng.permutation(len(bins))[:most].tolist():
+        if not free:
+            break
+        inside = bins[k]
+        room = capacity - sum(sizes[i] for i in inside)
+        if not room:
+            continue
+        best = None
+        for out in [*combinations(inside, 1), *(combinations(inside, 2) if len(inside) <= 12 else ())]:
+            gone = sum(sizes[i] for i in out)
+            at = bisect_right(free, (gone + room, len(sizes))) - 1
+            if at >= 0 and free[at][0] > gone and (best is None or free[at][0] - gone > best[0]):
+                best = free[at][0] - gone, out, at, None
+            if len(out) == 1 and len(free) > 1:  # two for one: the largest that fits, and the largest beside it
+                first = bisect_right(free, (gone + room - free[0][0], len(sizes))) - 1
+                if first > 0:
+                    second = min(first - 1, bisect_right(free, (gone + room - free[first][0], len(sizes))) - 1)
+                    if second >= 0 and (gain := free[first][0] + free[second][0] - gone) > 0 and (best is None or gain > best[0]):
+                        best = gain, out, first, second
+        if best is not None:
+            _, out, first, second = best
+            added = [free.pop(first)[1]] + ([free.pop(second)[1]] if second is not None else [])
+            bins[k] = [i for i in inside if i not in out] + added
+            for i in out:
+                insort(free, (sizes[i], i))
+    return [i for _, i in free]
+
+
+def least_bins(sizes: list[int], capacity: int) -> int:
+    """As many containers as the sum of the sizes needs at least."""
+    return -(-sum(sizes) // capacity)
+
+
 def crossover(sizes: list[int], mother: Packing, father: Packing, capacity: int, rng: np.random.Generator) -> Packing:
     filled = sorted(father, key=lambda b: -sum(sizes[i] for i in b))
     injected = [b for b in filled[: max(1, len(filled) // 2)] if rng.random() < 0.5]
@@ -60,6 +99,7 @@ def crossover(sizes: list[int], mother: Packing, father: Packing, capacity: int,
     emptiest = sorted(range(len(injected), len(kept)), key=lambda k: sum(sizes[i] for i in kept[k]))[: max(1, len(kept) // 50)]
     for k in sorted(emptiest, reverse=True):  # mutation: the emptiest containers are dissolved
         displaced += kept.pop(k)
+    displaced = replace(sizes, kept, displaced, capacity, rng)
     displaced.sort(key=lambda i: (-sizes[i], i))
     return best_fit(sizes, displaced, kept, capacity)
 
@@ -68,12 +108,16 @@ def evolve(sizes: list[int], capacity: int, seed: int, start: list[Packing] = ()
     """A population of packings, the best first. start: packings that came from elsewhere."""
     rng = np.random.default_rng(seed)
     people = [list(map(list, p)) for p in start]
-    while len(people) < population:
+    done = least_bins(sizes, capacity)
+    while len(people) < population and not (len(people) >= ELITE and min(map(len, people)) <= done):
         noise = 1 + (0.0 if not people else 0.3) * rng.random(len(sizes))
         order = sorted(range(len(sizes)), key=lambda i: (-sizes[i] * noise[i], i))
         people.append(best_fit(sizes, order, [], capacity))
     scored = sorted(((fitness(sizes, p, capacity), p) for p in people), key=lambda x: x[0], reverse=True)
-    for _ in range(generations):
+    least = least_bins(sizes, capacity)
+    for _ in range(generations if len(scored) > 1 else 0):
+        if -scored[0][0][0] <= least:
+            break
         a, b = rng.choice(len(scored), 2, replace=False)
         child = crossover(sizes, scored[min(a, b)][1], scored[max(a, b)][1], capacity, rng)
         scored.append((fitness(sizes, child, capacity), child))

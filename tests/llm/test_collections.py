@@ -122,6 +122,32 @@ def test_packing(spark):
     assert packing.pack(items.limit(0)).count() == 0
 
 
+def planted(rng, bins, capacity):
+    """Sizes of items that fill so many containers of three items each to the last place."""
+    out = []
+    for _ in range(bins):
+        a = rng.randrange(capacity // 4, capacity // 2)
+        b = rng.randrange(capacity // 4, capacity - a - capacity // 8)
+        out += [a, b, capacity - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_evolution_beats_best_fit_where_there_is_room():
+    rng = random.Random(5)
+    better = 0
+    for seed in range(4):
+        sizes = planted(rng, 80, 2048)
+        order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+        plain = len(packing.best_fit(sizes, order, [], 2048))
+        evolved = packing.evolve(sizes, 2048, seed)[0]
+        assert sorted(i for b in evolved for i in b) == list(range(240)) and all(sum(sizes[i] for i in b) <= 2048 for b in evolved)
+        assert 80 <= len(evolved) <= plain
+        better += len(evolved) < plain
+        print(plain, len(evolved))
+    assert better >= 3
+
+
 def shared_texts():
     rng = random.Random(6)
     text = lambda n: "".join(rng.choice("abcdefghij klmnopé京") for _ in range(n))
