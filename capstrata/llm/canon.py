@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,11 @@ CONTROLS = "".join(map(chr, [*range(0, 9), *range(14, 32), *range(127, 160)]))
 
 _wide = {c: n for c in map(chr, range(0xFF01, 0xFFEF)) if len(n := unicodedata.normalize("NFKC", c)) == 1 and n != c}
 WIDE, WIDE_AS = "".join(_wide), "".join(_wide.values())
-#: By rule: letters with an accent, and the letter without.
-ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x2000)) if 1 < len(d := unicodedata.normalize("NFD", c)) and d[0].isalpha() and all(map(unicodedata.combining, d[1:])))
-ACCENTED_AS = "".join(unicodedata.normalize("NFD", c)[0] for c in ACCENTED)
+#: By rule: characters that are stored in another way too, and the first character of that way. Hangul has its own rule.
+_stored = {c: d[0] for c in map(chr, [*range(0xC0, 0xAC00), *range(0xF900, 0x30000)]) if (d := unicodedata.normalize("NFD", c)) != c}
+STORED, STORED_AS = "".join(_stored), "".join(_stored.values())
+#: What the coarse form leaves out: marks, format characters, and the fillers and the later letters of Hangul syllables.
+PASSED_OVER = r"[\p{Mn}\p{Mc}\p{Cf}\x{115f}-\x{11ff}\x{3164}\x{ffa0}]"
 LOOKALIKE, LOOKALIKE_AS = CYRILLIC + GREEK + ARMENIAN + LATIN, CYRILLIC_AS + GREEK_AS + ARMENIAN_AS + LATIN_AS
 
 
@@ -67,8 +71,10 @@ def oddness(text: Column) -> Column:
 
 
 def coarse(form: Column) -> Column:
-    """The mapped text without accents: equal wherever the collation finds two forms equal, and cheap to hash."""
-    return F.translate(F.regexp_replace(form, r"\p{Mn}", ""), ACCENTED, ACCENTED_AS)
+    """The mapped text without accents: equal wherever the collation finds two forms equal, and cheap to hash. A Hangul
+    syllable stands for all."""
+    bare = F.regexp_replace(F.translate(form, STORED, STORED_AS), PASSED_OVER, "")
+    return F.regexp_replace(bare, r"[\x{1100}-\x{115e}\x{ac00}-\x{d7a3}]", "\uac00")
 
 
 def _candidates(df: DataFrame, id_col: str, text_col: str, keep_rest: bool) -> DataFrame:
@@ -105,7 +111,7 @@ def same_look(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption")
 
 def canonical(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption") -> DataFrame:
     """(id_col, canonical): one form of every text. The canonical member of a class is its least odd text, the smallest
-    among equals; width forms, spaces and invisible characters are tidied in it as well.
+    among equals; it, and every text without a partner, is then brought into the form of `repair`.
 
     Null stays null, empty and blank texts are tidied only. Repeated rows: a row each.
     """
@@ -114,7 +120,14 @@ def canonical(df: DataFrame, id_col: str = "pair_id", text_col: str = "caption")
     best = F.min(F.struct(oddness(F.col("text")).alias("odd"), F.col("text"))).alias("best")
     classes = several.groupBy("form").agg(best, F.count(F.lit(1)).alias("n"))
     joined = attach_group(several, classes, ["form"]).select("id", F.col("best.text").alias("text"))
-    return joined.unionByName(rows.where("n is null").select("id", "text")).select(F.col("id").alias(id_col), tidy(F.col("text")).alias("canonical"))
+    everything = joined.unionByName(rows.where("n is null").select("id", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t if t is None else repair(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [id_col, "canonical"])
+
+    return everything.mapInArrow(run, f"`{id_col}` {dict(everything.dtypes)['id']}, canonical string")
 
 
 # The same mapping for texts in Python, word by word: operators on words call it inside their Arrow step.
@@ -123,6 +136,7 @@ _tidy_table = {ord(c): None for c in INVISIBLE} | {ord(c): " " for c in SPACES}
 _to_latin = {ord(a): b for a, b in zip(LOOKALIKE, LOOKALIKE_AS)}
 _to_cyrillic = {ord(b): a for a, b in zip(reversed(CYRILLIC), reversed(CYRILLIC_AS))} | {ord(a): c for a, b in zip(GREEK + ARMENIAN + LATIN, GREEK_AS + ARMENIAN_AS + LATIN_AS) for c, d in zip(CYRILLIC, CYRILLIC_AS) if d == b}
 _untidy = re.compile("[" + "".join(map(re.escape, INVISIBLE + JOINER + SPACES + "".join(LIGATURES))) + "\uff01-\uffee]")
+_loose_joiner = re.compile(JOINER + "(?![\u2600-\u27bf\U0001f000-\U0001faff])")
 _foreign = re.compile(r"[Ͱ-֏ɑɡıſʀ]")
 _other_letters = re.compile("[A-Za-z\u00c0-\u03ff\u0530-\u058f]")
 _word = re.compile(r"[^\W\d_]+")
@@ -138,7 +152,7 @@ def repair(text: str) -> str:
     if text.isascii():
         return text
     if _untidy.search(text):
-        text = text.translate(_tidy_table).replace(JOINER, "")
+        text = _loose_joiner.sub("", text.translate(_tidy_table))
     text = unicodedata.normalize("NFC", text)
     if not _foreign.search(text) or (not _other_letters.search(text) and _cyrillic_only.search(text)):
         return text

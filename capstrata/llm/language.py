@@ -293,7 +293,7 @@ def vocabulary_path(name: str = "piece_bpe_32k.model", folder: str | None = None
 
 def train(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col: str = "caption", lang_col: str = "lang", path: str | None = None) -> PieceModel:
     """The model of the trusted texts (refs: lang, ref_text) and about SAMPLE_ROWS labelled rows at any size."""
-    trusted = [(r[0], r[1]) for r in require(refs, "lang", "ref_text").where("ref_text is not null").limit(10_000).collect()]
+    trusted = [(r[0], r[1]) for r in require(refs, "lang", "ref_text").where("ref_text is not null").collect()]  # a bounded table
     picked = sample_share(require(df, id_col, text_col, lang_col), id_col, SAMPLE_ROWS).where(F.length(text_col) > 0)
     return learn(trusted, [(r[0], r[1]) for r in picked.select(lang_col, text_col).collect()], path or vocabulary_path())
 

@@ -35,6 +35,17 @@ def test_same_look(spark):
     assert canon.same_look(rows.limit(0)).count() == 0 and canon.canonical(rows.limit(0)).count() == 0
 
 
+def test_canonical_form_of_lone_texts_and_odd_characters(spark):
+    texts = {1: "А rеd bоat alone", 2: "caf\u0065\u0301 alone", 3: "\U0001f469\u200d\U0001f692 alone", 4: "wide\u3000\uff21\u200b", 5: "Кафе у моря", 6: "\u212bngstr\u00f6m", 7: "\u00c5ngstro\u0308m", 8: "a \u2260 b", 9: "a =\u0338 b", 10: "\ud55c\uae00", 11: "\u1112\u1161\u11ab\u1100\u1173\u11af", 12: "\u304c", 13: "\u304b\u3099", 14: "a = b", 15: "a\u2066b c", 16: "ab c"}
+    rows = spark.createDataFrame(list(texts.items()), "pair_id bigint, caption string")
+    forms = {r.pair_id: r.canonical for r in canon.canonical(rows).collect()}
+    assert forms[1] == "A red boat alone" and forms[2] == "caf\u00e9 alone" and forms[3] == texts[3] and forms[4] == "wide A" and forms[5] == texts[5]
+    assert not any("\ue00d" in f or "\u200b" in f for f in forms.values())
+    got = {(r.id_a, r.id_b) for r in canon.same_look(rows).collect()}
+    assert got == {(6, 7), (8, 9), (10, 11), (12, 13), (15, 16)}
+    assert all(forms[a] == forms[b] for a, b in got)
+
+
 def test_repair_keeps_real_words():
     assert canon.repair("A greеn stоne “Кафе”") == "A green stone “Кафе”"
     assert canon.repair("Тpи коpзины") == "Три корзины"
