@@ -25,8 +25,8 @@ LANGUAGES = ("en", "zh", "de", "fr", "es", "ru", "pt")
 #: Other names of the languages in labels.
 NAMES = {"eng": "en", "english": "en", "zho": "zh", "chi": "zh", "chinese": "zh", "deu": "de", "ger": "de", "german": "de", "fra": "fr", "fre": "fr", "french": "fr", "spa": "es", "spanish": "es", "rus": "ru", "russian": "ru", "por": "pt", "portuguese": "pt"}
 SAMPLE_ROWS = 20_000  # bound of the labelled rows that the model is fitted on, a share by a hash of their id
-LONGEST = 10  # characters of a piece
-WORD = 36  # a longer word is scored in parts of so many characters
+FIT_WORD = 64  # longer words are left out when the model is fitted; they are scored as any other
+SMALL, LIFT = 1e-120, 1e120  # probabilities below the one are lifted by the other while a long word is summed
 CHANGE = 9.0  # cost of a change of language between two words
 PART_WORDS, PART_HAN, PART_GAIN = 4, 8, 12.0  # the least that makes a part a part: words, or Chinese characters, and log-odds
 LABEL_BONUS = 4.0  # log-odds that the delivered label counts
@@ -48,15 +48,16 @@ def label_language(label: str | None) -> str | None:
 
 
 def vocabulary(path: str) -> list[str]:
-    """The pieces of at most LONGEST characters that words in lower case can be made of."""
+    """The pieces that words in lower case can be made of: of letters without capitals, and the mark of a word's start."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {sp.id_to_piece(i) for i in range(sp.get_piece_size())}
-    return sorted(p for p in pieces if 0 < len(p) <= LONGEST and p == p.lower() and (p.lstrip("▁") or p == "▁") and all(c == "▁" or c.isalpha() for c in p))
+    return sorted(p for p in pieces if p and p == p.lower() and (p.lstrip("▁") or p == "▁") and all(c == "▁" or c.isalpha() for c in p))
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+TABLE_BITS, NONE, SHARED = 20, -1, -2
 
 
 def _script(codes: np.ndarray) -> np.ndarray:
@@ -74,8 +75,13 @@ class PieceModel:
         keys = self._hashes(codes, starts, sizes)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], order
-        self.bits = 18
-        self.first = np.searchsorted(self.keys, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits))
+        self.longest = int(sizes.max(initial=1))
+        # The piece of each slot of a table by the upper bits of the key; SHARED where several pieces have the slot.
+        slots = (self.keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        self.slots = np.full(1 << TABLE_BITS, NONE, np.int32)
+        self.slots[slots] = np.arange(len(slots))
+        again = slots[1:][slots[1:] == slots[:-1]]
+        self.slots[again] = SHARED
         self.p = np.full((len(pieces), len(LANGUAGES)), 1.0 / len(pieces))
         self.other = np.array([[SCRIPT if _script_of.get(lang, 0) == s else UNKNOWN for lang in LANGUAGES] for s in range(4)])
         self.known: dict[str, int] = {}
@@ -99,12 +105,15 @@ class PieceModel:
         return mix(h)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
-        at = self.first[(keys >> np.uint64(64 - self.bits)).astype(np.int64)]
+        at = self.slots[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)]
         out = np.full(len(keys), -1, np.int64)
-        for _ in range(8):  # pieces that share the upper bits lie next to each other
-            inside = np.minimum(at, len(self.keys) - 1)
-            out = np.where((out < 0) & (self.keys[inside] == keys), self.ids[inside], out)
-            at = at + 1
+        some = np.flatnonzero(at >= 0)
+        some = some[self.keys[at[some]] == keys[some]]
+        out[some] = self.ids[at[some]]
+        shared = np.flatnonzero(at == SHARED)
+        if len(shared):
+            place = np.minimum(np.searchsorted(self.keys, keys[shared]), len(self.keys) - 1)
+            out[shared] = np.where(self.keys[place] == keys[shared], self.ids[place], -1)
         return out
 
     def lattice(self, words: list[str]):
@@ -114,7 +123,7 @@ class PieceModel:
         place = np.arange(len(codes)) - np.repeat(starts, sizes)
         h, found = np.zeros(len(codes), np.uint64), []
         power = np.uint64(1)
-        for k in range(1, min(LONGEST, int(sizes.max(initial=0))) + 1):
+        for k in range(1, min(self.longest, int(sizes.max(initial=0))) + 1):
             # The hash of the last k characters: one more character in front of the last k - 1.
             h = h.copy()
             h[k - 1 :] += mixed[: len(mixed) - k + 1] * power
@@ -125,35 +134,47 @@ class PieceModel:
             found.append(ids)
         return starts, sizes, place, found, self.other[_script(codes)]
 
-    def forward(self, lattice) -> np.ndarray:
-        """alpha at the end of each place; before a word it is 1."""
+    def forward(self, lattice) -> tuple[np.ndarray, np.ndarray]:
+        """alpha at the end of each place, before a word it is 1; and by how many LIFTs the last ones of each word are too large."""
         starts, sizes, place, found, other = lattice
         alpha = np.ones((len(place) + 1, len(LANGUAGES)))  # row i + 1 is place i
+        longest = int(sizes.max(initial=0))
+        # All pieces found, in the order of where they end in their word.
+        ends = [np.flatnonzero(ids >= 0) for ids in found]
+        end, size = np.concatenate([np.zeros(0, np.int64), *ends]), np.repeat(np.arange(1, len(found) + 1), [len(e) for e in ends])
+        piece = np.concatenate([np.zeros(0, np.int64), *(ids[e] for ids, e in zip(found, ends))])
+        order = np.lexsort((end, place[end]))
+        end, size, piece = end[order], size[order], piece[order]
+        steps = np.searchsorted(place[end], np.arange(longest + 1))
         order = np.argsort(-sizes, kind="stable")
-        starts, sizes = starts[order], sizes[order]
-        for i in range(int(sizes.max(initial=0))):
-            at = starts[: np.searchsorted(-sizes, -i)] + i
-            total = (alpha[at] if i else 1.0) * other[at]
-            for k in range(1, min(i + 1, len(found)) + 1):
-                ids = found[k - 1][at]
-                hit = np.flatnonzero(ids >= 0)
-                if len(hit):
-                    before = alpha[at[hit] + 1 - k] if k <= i else 1.0
-                    total[hit] += before * self.p[ids[hit]]
-            alpha[at + 1] = total
-        return alpha
+        first = starts[order]
+        lifts = np.zeros((len(sizes), len(LANGUAGES)))
+        for i in range(longest):
+            at = first[: np.searchsorted(-sizes[order], -i)] + i
+            alpha[at + 1] = (alpha[at] if i else 1.0) * other[at]
+            e, k, ids = end[steps[i] : steps[i + 1]], size[steps[i] : steps[i + 1]], piece[steps[i] : steps[i + 1]]
+            if len(e):
+                before = np.where((k <= i)[:, None], alpha[np.maximum(e + 1 - k, 0)], 1.0)
+                new = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
+                alpha[e[new] + 1] += np.add.reduceat(before * self.p[ids], new)
+            if i >= 8 and alpha[at + 1].min() < SMALL:
+                low, lang = np.nonzero(alpha[at + 1] < SMALL)
+                for back in range(min(i + 1, len(found))):
+                    alpha[at[low] + 1 - back, lang] *= LIFT
+                lifts[order[low], lang] += 1
+        return alpha, lifts
 
     def fit(self, counts: dict[str, np.ndarray], rounds: int) -> None:
         """Expectation-maximization over words with their counts in each language."""
-        words = list(counts)
+        words = [w for w in counts if len(w) <= FIT_WORD]
         for _ in range(rounds):
             sums = np.zeros(self.p.shape)
             for first in range(0, len(words), 20_000):
                 part = words[first : first + 20_000]
                 lattice = self.lattice(part)
                 starts, sizes, place, found, other = lattice
-                alpha = self.forward(lattice)
-                share = np.array([counts[w] for w in part]) / alpha[starts + sizes]
+                alpha, lifts = self.forward(lattice)
+                share = np.where(lifts > 0, 0.0, np.array([counts[w] for w in part]) / np.maximum(alpha[starts + sizes], 1e-300))
                 word = np.repeat(np.arange(len(part)), sizes)
                 beta = np.ones((len(place), len(LANGUAGES)))  # what follows a place; nothing follows the last one
                 for back in range(1, int(sizes.max(initial=0))):
@@ -179,9 +200,10 @@ class PieceModel:
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         if new:
             starts_sizes = self.lattice(new)
-            z = self.forward(starts_sizes)[starts_sizes[0] + starts_sizes[1]]
+            alpha, lifts = self.forward(starts_sizes)
+            z = np.log(np.maximum(alpha[starts_sizes[0] + starts_sizes[1]], 1e-300)) - lifts * np.log(LIFT)
             self.known.update(zip(new, range(len(self.table), len(self.table) + len(new))))
-            self.table = np.concatenate([self.table, np.log(np.maximum(z, 1e-300))])
+            self.table = np.concatenate([self.table, z])
         return self.table[[self.known[w] for w in words]] if words else np.zeros((0, len(LANGUAGES)))
 
 
@@ -189,11 +211,7 @@ def split_words(text: str) -> list[str]:
     """Words in lower case with the mark of a word's start, Chinese runs without; quoted inscriptions don't count."""
     kept = _quoted.sub(" ", text)
     found = _words.findall(kept.lower()) or _words.findall(text.lower())
-    out = []
-    for w in found:
-        w = w if "\u3400" <= w[0] <= "\u9fff" else "\u2581" + w
-        out += [w] if len(w) <= WORD else [w[i : i + WORD] for i in range(0, len(w), WORD)]
-    return out
+    return [w if "\u3400" <= w[0] <= "\u9fff" else "\u2581" + w for w in found]
 
 
 def decode(model: PieceModel, lists: list[list[str]]) -> list[list[tuple[int, int, int, float]]]:

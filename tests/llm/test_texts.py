@@ -166,6 +166,31 @@ def test_truncation(spark):
     assert truncation.truncated(df.limit(0), refs).count() == 0 and F is not None
 
 
+def test_long_words_are_summed_whole():
+    model = language.PieceModel(["a", "ab", "ba", "abcabcabcabcabc"])
+    model.p[:] = np.linspace(0.001, 0.1, 4)[:, None] * np.linspace(1, 2, len(language.LANGUAGES))
+
+    def exact(word):
+        from fractions import Fraction
+        from math import log
+
+        out = []
+        for lang in range(len(language.LANGUAGES)):
+            alpha = [Fraction(1)]
+            for i in range(1, len(word) + 1):
+                total = alpha[i - 1] * Fraction(float(model.other[0, lang]))
+                for k, piece in enumerate(model.pieces):
+                    if word.endswith(piece, 0, i):
+                        total += alpha[i - len(piece)] * Fraction(float(model.p[k, lang]))
+                alpha.append(total)
+            out.append(log(alpha[-1].numerator) - log(alpha[-1].denominator))
+        return out
+
+    for word in ("abaab" * 3, "abc" * 100, "xyz" * 60 + "ab"):
+        assert np.allclose(model.rows_of([word])[0], exact(word))
+    assert len(model.rows_of(["x" * 20_000, "ab"])) == 2
+
+
 def test_limits_of_bytes(spark):
     rows = [("b", "é" * k + "x" * (80 - 2 * k)) for k in range(1, 20)] + [("b", "é" * 39 + "x")] * 9 + [("b", "short one")] * 30 + [("c", "y" * 50)] * 20 + [("c", "y" * 49 + ".")] * 20 + [(None, "z" * 50)]
     df = spark.createDataFrame(rows, "source string, caption string")
