@@ -69,7 +69,7 @@ def attach_group(rows: DataFrame, groups: DataFrame, keys: list[str], size: str
     salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(4096)) + 1).otherwise(F.lit(0).cast("bigint"))
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt)
     cold = groups.select(*keys, F.lit(0).cast("bigint").alias("_salt"), F.struct(*values).alias("_cold"))
-    both = marked.join(cold, [*keys, "_salt"], "left").withColumn("_group", F.coalesce("_hot", "_cold")).where("_group is not null")
+    both = marked.join(cold.hint("shuffle_hash"), [*keys, "_salt"], "left").withColumn("_group", F.coalesce("_hot", "_cold")).where("_group is not null")
     return both.select(*rows.columns, *[F.col(f"_group.{c}").alias(c) for c in values])
 
 

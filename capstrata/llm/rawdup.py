@@ -2,7 +2,7 @@
 
 Each normalized field name and value is hashed, the hashes of a record are added up modulo 2**64 (a multiset hash: the
 order of fields does not matter), records are grouped by the sum, and the fields of a group's members are compared with
-those of its first one. No sort takes part: grouping and joins are by hash.
+those of its first one. Grouping and joins are by hash: no sort takes part.
 """
 
 from __future__ import annotations
@@ -98,14 +98,13 @@ def copies(df: DataFrame, id_col: str = "line_id", line_col: str = "raw_line") -
     repeated = attach_group(marks, groups, keys).select("line_id", "first_id", "n").distinct()
     # Only the lines that have copies bring their fields along, once, and meet those of their first line.
     members = materialize(rows.join(repeated.hint("shuffle_hash"), "line_id"), "members")
-    first = F.struct("image", "score", "letters").alias("first")
-    firsts = members.where("line_id = first_id").groupBy("first_id").agg(F.first(first).alias("first"), F.first("n").alias("n"))
-    checked = attach_group(members.drop("n"), firsts, ["first_id"]).withColumn("same", F.expr("image <=> first.image and score = first.score and letters = first.letters"))
+    firsts = members.where("line_id = first_id").select("first_id", *[F.col(c).alias(f"first_{c}") for c in ("image", "score", "letters")], "n").distinct()
+    checked = attach_group(members.drop("n"), firsts, ["first_id"]).withColumn("same", F.expr("image <=> first_image and score = first_score and letters = first_letters"))
     alike = checked.where("same and line_id <> first_id").select("first_id", F.col("line_id").alias("copy_id"))
     # Records that share a fingerprint by accident are grouped by their fields themselves.
     fields = [*keys, "image", "score", "letters"]
     odd = checked.where("not same").select("line_id", *fields).withColumn("image", F.coalesce(F.concat(F.lit("v"), "image"), F.lit("n")))
-    other = odd.join(odd.groupBy(*fields).agg(F.min("line_id").alias("first_id")), fields).where("line_id <> first_id")
+    other = odd.join(odd.groupBy(*fields).agg(F.min("line_id").alias("first_id")).hint("shuffle_hash"), fields).where("line_id <> first_id")
     return alike.unionByName(other.select("first_id", F.col("line_id").alias("copy_id"))).distinct()
 
 

@@ -137,6 +137,16 @@ def shared_chunks(chunks: DataFrame) -> DataFrame:
     return numbered.where("place > 1 or _next is not null").drop("_next")
 
 
+def _met(shared: DataFrame, *fields: str) -> DataFrame:
+    """(x, y): structs of the fields of all rows with equal digests, x before y in the order of ids. A digest of very many
+    documents is cut into blocks, and a block meets each other one under the number of that one: no task holds the group."""
+    members = shared.withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
+    blocks = members.groupBy("hi", "lo", "block").agg(F.collect_list(F.struct(*fields)).alias("rows"))
+    before = blocks.select("hi", "lo", "block", F.col("rows").alias("xs"))
+    after = blocks.select("hi", "lo", F.col("rows").alias("ys"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("block"))).alias("block"))
+    return before.join(after, ["hi", "lo", "block"]).select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+
+
 def shared_spans(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_a, id_b): the pairs of rows, id_a < id_b, whose texts have a run of min_chars characters in common.
 
@@ -144,14 +154,8 @@ def shared_spans(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id", te
     one text. An empty table gives no rows.
     """
     shared = materialize(shared_chunks(document_chunks(df, min_chars, id_col, text_col)), "chunks")
-    # A digest of very many documents is paired block by block: no task holds the whole group.
-    members = shared.withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
-    blocks = members.groupBy("hi", "lo", "block").agg(F.collect_list(F.struct("id", "start", "end")).alias("rows"))
-    a, b = blocks.alias("a"), blocks.alias("b")
     paired = (
-        a.join(b, (F.col("a.hi") == F.col("b.hi")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.block") <= F.col("b.block")))
-        .select(F.explode("a.rows").alias("x"), F.col("b.rows").alias("ys"))
-        .select("x", F.explode("ys").alias("y"))
+        _met(shared, "id", "start", "end")
         .where("x.id < y.id")
         .select(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"), (F.col("x.start") - F.col("y.start")).alias("shift"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
     )
@@ -247,13 +251,8 @@ def shared_passages(df: DataFrame, min_chars: int = 160, id_col: str = "doc_id",
     same id count as one text.
     """
     shared = materialize(shared_chunks(document_chunks(df, min_chars, id_col, text_col, repeated=True)), "occurrences")
-    members = shared.withColumn("block", F.floor((F.col("place") - 1) / BLOCK))
-    blocks = members.groupBy("hi", "lo", "block").agg(F.collect_list(F.struct("id", "start")).alias("rows"))
-    a, b = blocks.alias("a"), blocks.alias("b")
     matches = (
-        a.join(b, (F.col("a.hi") == F.col("b.hi")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.block") <= F.col("b.block")))
-        .select(F.explode("a.rows").alias("x"), F.col("b.rows").alias("ys"))
-        .select("x", F.explode("ys").alias("y"))
+        _met(shared, "id", "start")
         .where("x.id < y.id")
         .groupBy(F.col("x.id").alias("id_a"), F.col("y.id").alias("id_b"))
         .agg(F.collect_set(F.struct(F.col("x.start").alias("start_a"), F.col("y.start").alias("start_b"))).alias("matches"))
