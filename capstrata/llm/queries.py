@@ -31,6 +31,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+def p1_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pictures' part of p1_found alone."""
+    return neardup.near_hashes(table(spark, sf_dir, "images"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cut(spark, sf_dir).where("cut").select(F.col("id").alias("pair_id"))
 
@@ -106,4 +111,4 @@ def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p2_found, p2_sources, p3_found, p3_canonical, p4_found, p4_scores, p5_found, p5_restored, p6_found, p6_collapsed, p7_found, p7_parts, p8_ids, p9_containers, p10_found, p10_share)}
+    return {f.__name__: f for f in (p1_found, p1_pictures, p2_found, p2_sources, p3_found, p3_canonical, p4_found, p4_scores, p5_found, p5_restored, p6_found, p6_collapsed, p7_found, p7_parts, p8_ids, p9_containers, p10_found, p10_share)}

@@ -1,11 +1,13 @@
 """SQL of the corpus queries for DuckDB, where SQL can express the operator on whole tables.
 
-The models, codings and packings of this subpackage have none, nor has the word join of problem 1 or the collation of
-problem 3: their tests compare them with brute force, an exact round trip or held-out rows instead.
+The models, codings and packings of this subpackage have none, nor has the word join of problem 1: their tests compare
+them with brute force, an exact round trip or held-out rows instead.
 """
 
 from __future__ import annotations
 
+from .canon import INVISIBLE, JOINER, JOINER_MARK, LIGATURES, LOOKALIKE, LOOKALIKE_AS, SPACES, WIDE, WIDE_AS
+
 # A record: a JSON object with a string caption and a score that is a number or absent. Numbers beyond doubles don't count.
 _RECORDS = r"""
 lines AS (SELECT line_id, raw_line::JSON AS r FROM raw_lines WHERE json_valid(raw_line)),
@@ -26,8 +28,25 @@ _RUNS += """
 runs AS (SELECT DISTINCT a.doc_id, hash(a.h, b.h) AS run FROM h128 a JOIN h32 b ON a.doc_id = b.doc_id AND b.i = a.i + 128 WHERE a.i <= a.size - 159)"""
 
 
+def _same_look() -> str:
+    """Captions mapped to prototypes as in the operator; composition stands for the collation, which is equal for them."""
+    text = f"regexp_replace(caption, '{JOINER}([\\x{{2600}}-\\x{{27bf}}\\x{{1f000}}-\\x{{1faff}}])', '{JOINER_MARK}\\1', 'g')"
+    # Characters without a counterpart at the end of the list are deleted.
+    text = f"translate({text}, '{WIDE + SPACES + INVISIBLE + JOINER}', '{WIDE_AS.replace(chr(39), chr(39) * 2) + ' ' * len(SPACES)}')"
+    for ligature, letters in LIGATURES.items():
+        text = f"replace({text}, '{ligature}', '{letters}')"
+    form = f"nfc_normalize(translate({text}, '{LOOKALIKE}', '{LOOKALIKE_AS}'))"
+    return f"""
+WITH forms AS (SELECT pair_id, caption, {form} AS form FROM pairs WHERE regexp_matches({form}, '[^\\s]'))
+SELECT a.pair_id AS pair_id_a, b.pair_id AS pair_id_b FROM forms a JOIN forms b ON a.form = b.form AND a.pair_id < b.pair_id AND a.caption <> b.caption"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_pictures": """
+WITH hashes AS (SELECT image_id AS id, ('0x' || phash)::UBIGINT AS h FROM images WHERE regexp_full_match(phash, '[0-9a-fA-F]{16}'))
+SELECT a.id AS id_a, b.id AS id_b FROM hashes a JOIN hashes b ON a.id < b.id AND bit_count(xor(a.h, b.h)) <= 5""",
+        "p3_found": _same_look(),
         "p6_found": f"WITH {_RECORDS} SELECT first_id, line_id AS copy_id FROM marked WHERE line_id <> first_id",
         "p6_collapsed": f"WITH {_RECORDS} SELECT first_id, copies FROM marked WHERE line_id = first_id",
         "p10_found": f"WITH {_RUNS} SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM runs a JOIN runs b ON a.run = b.run AND a.doc_id < b.doc_id",
