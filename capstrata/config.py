@@ -15,7 +15,7 @@ class FilterConfig:
     check_repeated_ngrams: bool = True
     use_clip_filter: bool = True
     min_clip_score: float = 0.20
-    clip_model: str = "ViT-B-32"
+    clip_model: str = "ViT-B-32"  # this, clip_pretrained and the device are handed to the scorer that is plugged in
     clip_pretrained: str = "openai"
     clip_batch_size: int = 256
     use_aesthetic_filter: bool = False
@@ -41,16 +41,21 @@ class PipelineConfig:
     run_augmentation: bool = False
     augmentation_use_templates: bool = True
     augmentation_use_synonyms: bool = True
-    augmentation_use_back_translation: bool = False
+    augmentation_use_back_translation: bool = False  # needs a translator
+    augmentation_templates: int = 1
+    augmentation_synonym_p: float = 0.3
+    augmentation_seed: int = 42
     device: str = "auto"
     num_workers: int = 4
     batch_size: int = 256
     log_level: str = "INFO"
-    log_every: int = 1000
+    log_every: int = 1000  # accepted; Spark reports the progress of its jobs
     min_score: float = 0.0
     keep_columns: bool = True
 
     def __post_init__(self):
+        if self.output_format not in ("jsonl", "parquet"):
+            raise ValueError(f"unknown output format: {self.output_format}")
         if self.dedup_image_method not in ("phash", "dhash"):
             raise ValueError(f"unknown image method: {self.dedup_image_method}")
 

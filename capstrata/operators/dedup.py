@@ -20,9 +20,11 @@ BLOCK = 64
 
 
 def exact_first(df: DataFrame, key: str, order: str) -> DataFrame:
-    """df with `first`: whether the row is the first of its key. One partial aggregation, no window over hot keys."""
+    """df with `first`: whether the row is the first of its key. One partial aggregation, no window over hot keys; the
+    firsts are joined back by their order, which spreads a hot key, and by key. Rows of one key and order are all first."""
     least = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_first"))
-    return df.join(least.select(F.col("_first").alias("_kept")), F.col(order) == F.col("_kept"), "left").withColumn("first", F.col("_kept").isNotNull()).drop("_kept")
+    joined = df.join(least, (F.col(order) == F.col("_first")) & F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.withColumn("first", F.col("_first").isNotNull()).drop("_key", "_first")
 
 
 def _block_pairs(rows: DataFrame, keys: list[str]) -> DataFrame:

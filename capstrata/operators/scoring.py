@@ -52,15 +52,20 @@ def detect_language(df: DataFrame, detector: Callable[[], LanguageDetector], cap
 
     schema = StructType([*df.schema.fields, StructField("detected", StringType())])
 
+    def one(detect: LanguageDetector, text: str) -> str | None:
+        try:
+            return detect([text])[0]
+        except Exception:
+            return None
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detect = detector()
         for frame in frames:
-            found = []
-            for text in frame[caption].tolist():
-                try:
-                    found.append(detect([text or ""])[0])
-                except Exception:
-                    found.append(None)
+            texts = [text or "" for text in frame[caption].tolist()]
+            try:
+                found = list(detect(texts))
+            except Exception:  # one bad text must not lose the batch
+                found = [one(detect, text) for text in texts]
             yield frame.assign(detected=found)
 
     return df.mapInPandas(run, schema)

@@ -15,7 +15,7 @@ from ..session import build_session, cut_lineage, setup_logging
 from ..sources import jsonl as J
 from . import pipeline as P
 
-DEMO = ["A dog playing in the park on a sunny afternoon.", "Hi", "Buy now at www.example.com great deals!", "Two red boats on a calm lake at dawn."]
+DEMO = ["Two red boats on a calm lake at dawn.", "Ok", "Click now, prizes wait behind this door", "A weathered stone bridge over a narrow river.", "see you see you see you see you see you see you see you", "雨后的山谷里有一座小木屋"]
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,9 +37,12 @@ def parser() -> argparse.ArgumentParser:
     text.add_argument("--min-word-count", type=int, default=3)
     text.add_argument("--no-clip", action="store_true")
     text.add_argument("--keep-columns", action="store_true")
-    text.add_argument("--batch-size", type=int, default=256)
-    text.add_argument("--num-workers", type=int, default=4)
-    text.add_argument("--device", default="auto")
+    text.add_argument("--batch-size", type=int, default=256, help="rows that a scorer gets at once")
+    text.add_argument("--num-workers", type=int, help="partitions that the records are spread over")
+    text.add_argument("--device", default="auto", help="handed to the scorer")
+    for p in (whole, text):
+        p.add_argument("--scorer", help="package.module:name of what makes a scorer; without one the stored scores count")
+    whole.add_argument("--translator", help="package.module:name of what makes a translator")
     text.add_argument("--log-level", default="INFO")
     near.add_argument("--image-method", choices=("phash", "dhash"), default="phash")
     near.add_argument("--image-threshold", type=int, default=5)
@@ -55,14 +58,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "pipeline":
         config = PipelineConfig.from_yaml(args.config)
         config = replace(config, **{k: v for k, v in (("input_path", args.input), ("output_path", args.output)) if v})
-        print(json.dumps(P.run(spark, config).stats))
+        hooks = [P.load_hook(x) if x else None for x in (args.scorer, args.translator)]
+        print(json.dumps(P.run(spark, config, *hooks).stats))
     elif args.command == "filter":
         config = FilterConfig(min_text_len=args.min_text_len, max_text_len=args.max_text_len, min_word_count=args.min_word_count, min_clip_score=args.min_clip_score, use_clip_filter=not args.no_clip)
         records, size = J.read_jsonl(spark, args.input), (None, None)
+        records = records.repartition(args.num_workers) if args.num_workers else records
         if args.image_root:
             records, size = P.attach_images(records, args.image_root, "phash"), ("width", "height")
-        staged = cut_lineage(Q.quality_stages(records, config, "caption", *size))
-        J.write_jsonl(Q.passed(staged).drop("value", "image_hash"), args.output, args.keep_columns)
+        device = PipelineConfig(device=args.device).resolved_device()
+        records, score = P.scored(cut_lineage(records), config, P.load_hook(args.scorer) if args.scorer else None, *size, device, args.batch_size)
+        staged = cut_lineage(Q.quality_stages(records, config, "caption", *size, score))
+        J.write_jsonl(Q.passed(staged).drop("value", "image_hash", "clip_score"), args.output, args.keep_columns)
         print(json.dumps(Q.quality_stats(staged).first().asDict()))
     elif args.command == "dedup":
         records = J.read_jsonl_strict(spark, args.input)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import inspect
 import json
 import time
 from collections.abc import Callable
@@ -10,13 +12,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig
+from ..config import FilterConfig, PipelineConfig
 from ..functions.hashing import image_hash
 from ..operators import augment as A
 from ..operators import dedup as D
 from ..operators import quality as Q
 from ..operators.scoring import ImageTextScorer, score_rows
-from ..session import cut_lineage
+from ..session import cut_lineage, setup_logging
 from ..sources.jsonl import read_jsonl
 
 
@@ -40,10 +42,38 @@ def run_stages(df: DataFrame, config: PipelineConfig, order: str, caption: str =
     return kept, filter_stats.crossJoin(dedup_stats)  # one row each
 
 
-def augmented(kept: DataFrame, config: PipelineConfig, order: str, caption: str = "caption") -> DataFrame:
+def augmented(kept: DataFrame, config: PipelineConfig, order: str, caption: str = "caption", translator: Callable | None = None) -> DataFrame:
     if not config.run_augmentation:
         return kept
-    return A.augment(kept, caption, order, use_templates=config.augmentation_use_templates, use_synonyms=config.augmentation_use_synonyms)
+    if config.augmentation_use_back_translation and translator is None:
+        raise ValueError("augmentation_use_back_translation needs a translator")
+    options = {"use_templates": config.augmentation_use_templates, "use_synonyms": config.augmentation_use_synonyms, "templates": config.augmentation_templates, "p": config.augmentation_synonym_p, "seed": config.augmentation_seed}
+    return A.augment(kept, caption, order, translator if config.augmentation_use_back_translation else None, **options)
+
+
+def load_hook(spec: str) -> Callable:
+    """The object that "package.module:name" names."""
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+def scored(records: DataFrame, config: FilterConfig, scorer: Callable[..., ImageTextScorer] | None, width: str | None, height: str | None, device: str = "auto", batch: int = 256) -> tuple[DataFrame, str | None]:
+    """records with the column of relevance scores, and its name. Without a scorer the stored `score` of the records is
+    used, where a record without one has 1.0. With one, only rows that passed the rules of text and picture are scored;
+    it is called with the model's name, its weights and the device if it takes them."""
+    if config.use_aesthetic_filter and "aesthetic_score" not in records.columns:
+        raise ValueError("use_aesthetic_filter needs a column aesthetic_score")
+    if config.use_aesthetic_filter:
+        records = records.where(Q.score_passes(F.col("aesthetic_score"), config.min_aesthetic_score))
+    if not config.use_clip_filter:
+        return records, None
+    if scorer is None:
+        return records, "score"
+    takes = len(inspect.signature(scorer).parameters) >= 3
+    make = (lambda: scorer(config.clip_model, config.clip_pretrained, device)) if takes else scorer
+    early = Q.passed(Q.quality_stages(records, config, "caption", width, height)).select("ord")
+    found = score_rows(records.join(early, "ord", "left_semi"), make, batch=batch).select("ord", "clip_score")
+    return records.join(found, "ord", "left"), "clip_score"
 
 
 def attach_images(records: DataFrame, image_root: str, method: str, workers: int | None = None) -> DataFrame:
@@ -56,23 +86,20 @@ def attach_images(records: DataFrame, image_root: str, method: str, workers: int
     return records.join(hashes, F.col("image") == F.col("_image"), "left").drop("_image")
 
 
-def run(spark: SparkSession, config: PipelineConfig, scorer: Callable[[], ImageTextScorer] | None = None) -> Result:
-    """Reads config.input_path, writes config.output_path (JSON lines and pipeline_stats.json)."""
+def run(spark: SparkSession, config: PipelineConfig, scorer: Callable[..., ImageTextScorer] | None = None, translator: Callable | None = None) -> Result:
+    """Reads config.input_path, writes config.output_path (JSON lines or Parquet, and pipeline_stats.json)."""
     began = time.time()
+    setup_logging(config.log_level)
     records = read_jsonl(spark, config.input_path, config.min_score)
     width = height = hashed = None
     if config.image_root:
         records = attach_images(records, config.image_root, config.dedup_image_method)
         width, height, hashed = "width", "height", "image_hash"
-    score = None
-    if scorer is not None and config.filter.use_clip_filter:
-        early = Q.passed(Q.quality_stages(records, config.filter, "caption", width, height)).select("ord")
-        scored = score_rows(records.join(early, "ord", "left_semi"), scorer).select("ord", "clip_score")  # only what passed so far
-        records, score = records.join(scored, "ord", "left"), "clip_score"
+    records, score = scored(records, config.filter, scorer, width, height, config.resolved_device(), config.filter.clip_batch_size)
     kept, counts = run_stages(cut_lineage(records), config, "ord", "caption", hashed, width, height, score)
-    out = cut_lineage(augmented(kept, config, "ord"))
+    out = cut_lineage(augmented(kept, config, "ord", translator=translator))
     target = out.drop("value") if config.keep_columns else out.select("caption")
-    target.write.mode("overwrite").json(config.output_path.rstrip("/") + "/output.jsonl")
+    target.write.mode("overwrite").format("json" if config.output_format == "jsonl" else "parquet").save(config.output_path.rstrip("/") + f"/output.{config.output_format}")
     c, written = counts.first().asDict(), out.count()
     stats = {
         "pipeline": {"loaded": c["loaded"], "filter_passed": c["passed"], "dedup_kept": c["kept"], "written": written, "augmented": written if config.run_augmentation else 0},

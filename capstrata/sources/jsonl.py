@@ -55,16 +55,18 @@ def write_lines(df: DataFrame, path: str, line: str = "value") -> None:
 
 def load_blocklist(spark: SparkSession, path: str | None) -> DataFrame:
     """(url) from a text file, trimmed, without blank lines; no rows for None or a missing file."""
-    from py4j.protocol import Py4JJavaError
     from pyspark.errors import AnalysisException
 
     empty = spark.createDataFrame([], "url string")
     if not path:
         return empty
     try:
-        return spark.read.text(path).select(strip(F.col("value")).alias("url")).where("url <> ''").distinct()
-    except (AnalysisException, Py4JJavaError):
-        return empty
+        lines = spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return empty
+        raise
+    return lines.select(strip(F.col("value")).alias("url")).where("url <> ''").distinct()
 
 
 def drop_blocked(df: DataFrame, url: str, blocklist: DataFrame) -> DataFrame:

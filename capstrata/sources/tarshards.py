@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import fnmatch
 import glob
 import io
 import logging
 import tarfile
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -17,6 +19,25 @@ SCHEMA = "key string, image binary, caption binary, shard string"
 LEAST_CAPTION = 5
 
 
+def listed(pattern: str) -> list[str]:
+    """The files that a pattern names, sorted: of this machine's disk, or of the storage that an address like
+    hdfs://, s3:// or file:// stands for. There only the name after the last slash may hold signs of a pattern."""
+    if "://" not in pattern:
+        return sorted(glob.glob(pattern))
+    store, path = pafs.FileSystem.from_uri(pattern.rpartition("/")[0])
+    found = store.get_file_info(pafs.FileSelector(path))
+    folder, _, name = pattern.rpartition("/")
+    return sorted(f"{folder}/{f.base_name}" for f in found if f.is_file and fnmatch.fnmatch(f.base_name, name))
+
+
+def opened(path: str):
+    """A stream of the file's bytes."""
+    if "://" not in path:
+        return open(path, "rb")
+    store, inner = pafs.FileSystem.from_uri(path)
+    return store.open_input_stream(inner)
+
+
 class Shard(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -27,7 +48,7 @@ class TarReader(DataSourceReader):
         self.pattern, self.image, self.caption = options.get("path", ""), options.get("image_key", "jpg"), options.get("caption_key", "txt")
 
     def partitions(self):
-        return [Shard(p) for part in self.pattern.split(",") for p in sorted(glob.glob(part))] or [Shard("")]
+        return [Shard(p) for part in self.pattern.split(",") for p in listed(part)] or [Shard("")]
 
     def read(self, shard):
         """Samples whose members share a name up to the first dot; a broken shard ends with a warning."""
@@ -35,7 +56,7 @@ class TarReader(DataSourceReader):
             return
         name, sample = None, {}
         try:
-            with tarfile.open(shard.path) as tar:
+            with opened(shard.path) as raw, tarfile.open(fileobj=raw, mode="r|*") as tar:
                 for member in tar:
                     if not member.isfile():
                         continue

@@ -117,6 +117,7 @@ options AS (SELECT *, {_SYNONYM_MAP}[lower(bare)] AS o FROM looked),
 picked AS (SELECT *, CASE WHEN o IS NOT NULL AND len(o) > 0 AND {_NUMBER.format('d', 1)} < {int(0.3 * 2**32)} THEN o[1 + ({_NUMBER.format('d', 9)} % len(o))::INT] END AS r FROM options),
 done AS (SELECT pair_id, i, CASE WHEN r IS NULL THEN w ELSE (CASE WHEN w[1] <> lower(w[1]) THEN upper(r[1]) || r[2:] ELSE r END) || substr(w, length(bare) + 1) END AS x FROM picked)
 SELECT p.pair_id, coalesce(s.v, '') AS variant FROM (SELECT pair_id FROM pairs WHERE caption IS NOT NULL) p LEFT JOIN (SELECT pair_id, string_agg(x, ' ' ORDER BY i) AS v FROM done GROUP BY pair_id) s USING (pair_id)""",
+        "augmented_captions": "",
         "hamming_pairs": f"""
 SELECT image_id, bit_count(xor(h, earlier))::BIGINT AS bits FROM (SELECT image_id, h, lag(h) OVER (PARTITION BY width, height ORDER BY image_id) AS earlier FROM (SELECT image_id, width, height, {_PHASH} AS h FROM images WHERE phash IS NOT NULL))
 WHERE earlier IS NOT NULL AND h IS NOT NULL""",
@@ -137,4 +138,10 @@ scored AS (SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], centre) AS
 SELECT vec_id, round(score, 6) AS score FROM scored WHERE score >= 0.05 AND NOT isnan(score)""",
         "run_stats_latest": "SELECT shard, run_id, loaded, passed, kept FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY started_at DESC, run_id DESC) AS k FROM run_stats) WHERE k = 1",
     }
+    out["augmented_captions"] = f"""
+WITH templated AS ({out['template_augment']}), synonyms AS ({out['synonym_augment']}), given AS (SELECT pair_id, caption FROM pairs WHERE caption IS NOT NULL),
+made AS (SELECT pair_id, -1 AS place, caption AS new FROM given
+UNION ALL SELECT t.pair_id, t.draw, t.variant FROM templated t JOIN given USING (pair_id) WHERE t.draw < 2 AND t.variant <> caption
+UNION ALL SELECT s.pair_id, 9, s.variant FROM synonyms s JOIN given USING (pair_id) WHERE s.variant <> caption)
+SELECT pair_id, (row_number() OVER (PARTITION BY pair_id ORDER BY place) - 1)::INT AS variant, new AS caption FROM made"""
     return out

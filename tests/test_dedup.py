@@ -77,3 +77,9 @@ def test_phash_is_the_direct_transform():
 def test_dhash_of_a_ramp():
     assert H.dhash_of(np.tile(np.arange(90), (80, 1))) == -1
     assert H.dhash_of(np.zeros((8, 9))) == 0
+
+
+def test_first_of_key_with_equal_orders(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 1), ("a", 2), (None, 2), (None, 3)], "k string, o int")
+    got = {(r.k, r.o): r.first for r in D.exact_first(rows, "k", "o").collect()}
+    assert got == {("a", 1): True, ("b", 1): True, ("a", 2): False, (None, 2): True, (None, 3): False}

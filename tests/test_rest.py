@@ -76,6 +76,45 @@ def test_scores(spark):
     assert S.detect_language(spark.createDataFrame([("x",)], "caption string"), lambda: lambda texts: ["en"]).first().detected == "en"
 
 
+def test_translated_variant_and_options_from_config(spark):
+    rows = spark.createDataFrame([(1, "A dog"), (2, None)], "pair_id bigint, caption string")
+    config = PipelineConfig(run_augmentation=True, augmentation_use_back_translation=True, augmentation_templates=4, augmentation_seed=7)
+    with pytest.raises(ValueError):
+        P.augmented(rows, config, "pair_id")
+    out = P.augmented(rows, config, "pair_id", translator=lambda: lambda texts, s, t: [x + "!" for x in texts]).collect()
+    assert max(out, key=lambda r: r.variant).caption == "A dog!!" and {r.pair_id for r in out if r.variant == 0} == {1}
+    assert len({r.variant for r in out if r.pair_id == 1}) == len([r for r in out if r.pair_id == 1])
+
+
+def test_stored_scores_count_without_a_scorer(spark, tmp_path):
+    lines = [{"image": "a", "caption": "A dog playing in the park.", "score": s} for s in (0.1, 0.5)] + [{"image": "b", "caption": "Two boats on a calm lake."}]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, lines)) + "\n{'image':'c','caption':'single quotes are no JSON'}\n")
+    assert cli.main(["filter", "--input", str(tmp_path / "in.jsonl"), "--output", str(tmp_path / "f"), "--keep-columns", "--num-workers", "2"]) == 0
+    assert sorted(r.score for r in spark.read.json(str(tmp_path / "f")).collect()) == [0.5, 1.0]
+    config = PipelineConfig(input_path=str(tmp_path / "in.jsonl"), output_path=str(tmp_path / "o"), output_format="parquet", run_dedup=False)
+    stats = P.run(spark, config, scorer=lambda model, weights, device: lambda images, captions: [0.3 if model and c.startswith("Two") else 0.0 for c in captions]).stats
+    assert stats["filter"]["failed_clip"] == 2 and spark.read.parquet(str(tmp_path / "o/output.parquet")).count() == 1
+    with pytest.raises(ValueError):
+        P.run(spark, PipelineConfig(input_path=str(tmp_path / "in.jsonl"), filter=FilterConfig(use_aesthetic_filter=True)))
+
+
+def test_shards_by_address(spark, tmp_path):
+    W.write_shards([("k1", b"x", "a first caption".encode()), ("k2", b"y", b"tiny")], str(tmp_path / "s1.tar"))
+    W.write_shards([("k3", b"z", "another caption".encode())], str(tmp_path / "s2.tar"))
+    for pattern in (f"{tmp_path}/s*.tar", f"file://{tmp_path}/s*.tar"):
+        assert {r.key for r in W.read_shards(spark, pattern).collect()} == {"k1", "k3"}
+
+
+def test_detector_that_fails_on_one_text(spark):
+    def detect(texts):
+        if "bad" in texts:
+            raise RuntimeError
+        return ["en"] * len(texts)
+
+    got = S.detect_language(spark.createDataFrame([("a",), ("bad",)], "caption string").coalesce(1), lambda: detect).collect()
+    assert {r.caption: r.detected for r in got} == {"a": "en", "bad": None}
+
+
 def test_config_round_trip(tmp_path):
     config = PipelineConfig(input_path="x", filter=FilterConfig(min_text_len=5))
     config.to_yaml(str(tmp_path / "c.yaml"))
