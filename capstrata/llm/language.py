@@ -117,7 +117,7 @@ class PieceModel:
         return out
 
     def lattice(self, words: list[str]):
-        """(starts, sizes, per piece length the ids of the pieces that end at each place, other probabilities)."""
+        """(starts, sizes, places, per piece length the ids of the pieces that end at each place, scripts)."""
         codes, starts, sizes = self._lay(words)
         mixed = mix(codes.astype(np.uint64))
         place = np.arange(len(codes)) - np.repeat(starts, sizes)
@@ -132,37 +132,49 @@ class PieceModel:
             ids = np.full(len(codes), -1, np.int64)
             ids[ok] = self._find(mix(h[ok]))
             found.append(ids)
-        return starts, sizes, place, found, self.other[_script(codes)]
+        return starts, sizes, place, found, _script(codes)
 
-    def forward(self, lattice) -> tuple[np.ndarray, np.ndarray]:
-        """alpha at the end of each place, before a word it is 1; and by how many LIFTs the last ones of each word are too large."""
-        starts, sizes, place, found, other = lattice
-        alpha = np.ones((len(place) + 1, len(LANGUAGES)))  # row i + 1 is place i
-        longest = int(sizes.max(initial=0))
+    def forward(self, lattice, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """alpha at the end of each word, or, if whole, before all words (1) and at the end of each place; and by how many
+        LIFTs the last ones of each word are too large.
+
+        Rows are laid out step by step, longer words first, so that a step reads and writes rows that lie together.
+        """
+        starts, sizes, place, found, script = lattice
+        longest, order = int(sizes.max(initial=0)), np.argsort(-sizes, kind="stable")
+        first = starts[order]
+        width = np.searchsorted(-sizes[order], -np.arange(longest))  # words that reach each step
+        offset = np.concatenate([[0, len(sizes)], len(sizes) + np.cumsum(width)])  # of the rows before any step, and behind each one
+        rank = np.empty(len(sizes), np.int64)
+        rank[order] = np.arange(len(sizes))
+        of = np.repeat(rank, sizes)  # of each place
         # All pieces found, in the order of where they end in their word.
         ends = [np.flatnonzero(ids >= 0) for ids in found]
         end, size = np.concatenate([np.zeros(0, np.int64), *ends]), np.repeat(np.arange(1, len(found) + 1), [len(e) for e in ends])
         piece = np.concatenate([np.zeros(0, np.int64), *(ids[e] for ids, e in zip(found, ends))])
-        order = np.lexsort((end, place[end]))
-        end, size, piece = end[order], size[order], piece[order]
-        steps = np.searchsorted(place[end], np.arange(longest + 1))
-        order = np.argsort(-sizes, kind="stable")
-        first = starts[order]
+        by = np.lexsort((of[end], place[end]))
+        end, size, piece = end[by], size[by], piece[by]
+        step, word = place[end], of[end]
+        before = offset[np.maximum(step + 1 - size, 0)] + word
+        steps = np.searchsorted(step, np.arange(longest + 1))
+        alpha = np.ones((offset[-1], len(LANGUAGES)))
         lifts = np.zeros((len(sizes), len(LANGUAGES)))
         for i in range(longest):
-            at = first[: np.searchsorted(-sizes[order], -i)] + i
-            alpha[at + 1] = (alpha[at] if i else 1.0) * other[at]
-            e, k, ids = end[steps[i] : steps[i + 1]], size[steps[i] : steps[i + 1]], piece[steps[i] : steps[i + 1]]
-            if len(e):
-                before = np.where((k <= i)[:, None], alpha[np.maximum(e + 1 - k, 0)], 1.0)
-                new = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
-                alpha[e[new] + 1] += np.add.reduceat(before * self.p[ids], new)
-            if i >= 8 and alpha[at + 1].min() < SMALL:
-                low, lang = np.nonzero(alpha[at + 1] < SMALL)
+            n, out = width[i], alpha[offset[i + 1] : offset[i + 1] + width[i]]
+            np.multiply(alpha[offset[i] : offset[i] + n], self.other[script[first[:n] + i]], out=out)
+            few = slice(steps[i], steps[i + 1])
+            w = word[few]
+            if len(w):
+                new = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+                out[w[new]] += np.add.reduceat(alpha[before[few]] * self.p[piece[few]], new)
+            if i >= 8 and out.min() < SMALL:
+                low, lang = np.nonzero(out < SMALL)
                 for back in range(min(i + 1, len(found))):
-                    alpha[at[low] + 1 - back, lang] *= LIFT
+                    alpha[offset[i + 1 - back] + low, lang] *= LIFT
                 lifts[order[low], lang] += 1
-        return alpha, lifts
+        if whole:
+            return np.concatenate([np.ones((1, len(LANGUAGES))), alpha[offset[place + 1] + of]]), lifts
+        return alpha[offset[sizes] + rank], lifts
 
     def fit(self, counts: dict[str, np.ndarray], rounds: int) -> None:
         """Expectation-maximization over words with their counts in each language."""
@@ -172,8 +184,9 @@ class PieceModel:
             for first in range(0, len(words), 20_000):
                 part = words[first : first + 20_000]
                 lattice = self.lattice(part)
-                starts, sizes, place, found, other = lattice
-                alpha, lifts = self.forward(lattice)
+                starts, sizes, place, found, script = lattice
+                other = self.other[script]
+                alpha, lifts = self.forward(lattice, True)
                 share = np.where(lifts > 0, 0.0, np.array([counts[w] for w in part]) / np.maximum(alpha[starts + sizes], 1e-300))
                 word = np.repeat(np.arange(len(part)), sizes)
                 beta = np.ones((len(place), len(LANGUAGES)))  # what follows a place; nothing follows the last one
@@ -199,9 +212,8 @@ class PieceModel:
             self.known, self.table = {}, np.zeros((0, len(LANGUAGES)))
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         if new:
-            starts_sizes = self.lattice(new)
-            alpha, lifts = self.forward(starts_sizes)
-            z = np.log(np.maximum(alpha[starts_sizes[0] + starts_sizes[1]], 1e-300)) - lifts * np.log(LIFT)
+            alpha, lifts = self.forward(self.lattice(new))
+            z = np.log(np.maximum(alpha, 1e-300)) - lifts * np.log(LIFT)
             self.known.update(zip(new, range(len(self.table), len(self.table) + len(new))))
             self.table = np.concatenate([self.table, z])
         return self.table[[self.known[w] for w in words]] if words else np.zeros((0, len(LANGUAGES)))

@@ -473,7 +473,8 @@ def truncated(df: DataFrame, refs: DataFrame, id_col: str = "pair_id", text_col:
     if model is None:
         model = train(values, require(refs, "lang", "ref_text").where("ref_text is not null"))
     shared = df.sparkSession.sparkContext.broadcast((model, residue))
-    judged = values if rows is None else with_ids(values, rows, "id")
+    judged = values.select("id", "text", "source", "lang", "excess", "share")
+    judged = judged if rows is None else with_ids(judged, rows, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stored, other = shared.value
