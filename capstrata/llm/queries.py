@@ -7,14 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import bpe, canon, encoding, language, neardup, packing, rawdup, residue, spans, truncation
 from .common import table, with_ids
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are worth moving to all cores where its file has fewer row groups than there are."""
+    return spread(table(spark, sf_dir, name))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs, refs = table(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs")
+    pairs, refs = _texts(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs")
     values = truncation.prepared(pairs)
 
     def left_out(ids: DataFrame) -> DataFrame:
@@ -47,16 +53,16 @@ def p2_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "pairs")
+    pairs = _texts(spark, sf_dir, "pairs")
     return truncation.truncated(pairs, table(spark, sf_dir, "lang_refs"), residue=residue.train(pairs))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canon.same_look(table(spark, sf_dir, "pairs")).select(F.col("id_a").alias("pair_id_a"), F.col("id_b").alias("pair_id_b"))
+    return canon.same_look(_texts(spark, sf_dir, "pairs")).select(F.col("id_a").alias("pair_id_a"), F.col("id_b").alias("pair_id_b"))
 
 
 def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return canon.canonical(table(spark, sf_dir, "pairs"))
+    return canon.canonical(_texts(spark, sf_dir, "pairs"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +70,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return residue.scored(table(spark, sf_dir, "pairs")).withColumnRenamed("id", "pair_id")
+    return residue.scored(_texts(spark, sf_dir, "pairs")).withColumnRenamed("id", "pair_id")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,16 +78,16 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = encoding.repaired(table(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs"))
+    found = encoding.repaired(_texts(spark, sf_dir, "pairs"), table(spark, sf_dir, "lang_refs"))
     return found.select(F.col("id").alias("pair_id"), "garbled", "restored")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rawdup.copies(table(spark, sf_dir, "raw_lines"))
+    return rawdup.copies(_texts(spark, sf_dir, "raw_lines"))
 
 
 def p6_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rawdup.collapsed(table(spark, sf_dir, "raw_lines"))
+    return rawdup.collapsed(_texts(spark, sf_dir, "raw_lines"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,25 +95,25 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = table(spark, sf_dir, "pairs")
+    pairs = _texts(spark, sf_dir, "pairs")
     parts = language.languages(pairs, table(spark, sf_dir, "lang_refs"), residue=residue.train(pairs))
     return parts.withColumnRenamed("id", "pair_id")
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode_texts(table(spark, sf_dir, "documents"))
+    return bpe.encode_texts(_texts(spark, sf_dir, "documents"))
 
 
 def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_documents(_texts(spark, sf_dir, "documents"))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_spans(table(spark, sf_dir, "documents")).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
+    return spans.shared_spans(_texts(spark, sf_dir, "documents")).select(F.col("id_a").alias("doc_id_a"), F.col("id_b").alias("doc_id_b"))
 
 
 def p10_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans.shared_share(table(spark, sf_dir, "documents"))
+    return spans.shared_share(_texts(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
