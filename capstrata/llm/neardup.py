@@ -130,7 +130,8 @@ def word_counts(sets: DataFrame, parts: int) -> StoredCounts:
 
     def take(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = int(rows["slot"][0]) // width * width
-        total = np.bincount(rows["slot"] - np.uint32(first), rows["n"], width).astype(np.int64)
+        # The last part is narrower where parts don't divide the table.
+        total = np.bincount(rows["slot"] - np.uint32(first), rows["n"], min(width, (1 << DF_BITS) - first)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([np.searchsorted(_ABOUT, total).astype(np.uint8).tobytes()], pa.binary())], ["first", "data"])
 
     return StoredCounts(materialize(exchange(sets.select("words"), make, take, parts, _COUNT, "first bigint, data binary"), "counts").inputFiles())

@@ -245,3 +245,14 @@ def test_every_run_holds_a_whole_chunk():
     for i, key in zip(ids.tolist(), zip(hi.tolist(), lo.tolist())):
         found.setdefault(i, set()).add(key)
     assert all(found[2 * k] & found[2 * k + 1] for k in range(len(texts)))
+
+
+def test_word_counts_in_any_number_of_parts(spark):
+    texts = [t for t in near_texts() if t]
+    sets = neardup.caption_sets(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string"), "id", "text")
+    held = [w for t in texts if len(words := neardup.words_of(t)) >= neardup.MIN_WORDS for w in words]
+    slot, n = np.unique(neardup.hash_words(held) >> np.uint64(64 - neardup.DF_BITS), return_counts=True)
+    for parts in (8, 9, 33):
+        table = neardup.word_counts(sets, parts).load()
+        assert len(table) == 1 << neardup.DF_BITS and np.count_nonzero(table) == len(slot)
+        assert (table[slot.astype(np.int64)] == np.searchsorted(neardup._ABOUT, n)).all()
