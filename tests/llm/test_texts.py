@@ -219,3 +219,30 @@ def test_moved_words_say_nothing_about_an_end(spark):
     refs = spark.createDataFrame(captions(30, 7), "lang string, ref_text string")
     got = {r.id: r.cut for r in truncation.truncated(df, refs).collect()}
     assert got[5001] and not got[5000] and not got[5002]
+
+
+def test_full_tables_dont_speak_for_unseen_contexts():
+    # a slot of a longer context that is full of strangers, who never end
+    tables, slots = np.array([[[8, 0], [4, 0]], [[5000, 0], [0, 0]]]), [np.zeros(1, np.int64)] * 2
+    assert truncation.EndModel._chance(tables, slots, 0.003, truncation.SUPPORT)[0] > 0.1
+    rng = np.random.default_rng(3)
+    table = np.stack([rng.poisson(30, 4096), rng.poisson(1, 4096)]).astype(np.int32)
+    table[:, 5] += np.array([4000, 1000], np.int32)
+    sparse = np.zeros((2, 4096), np.int32)
+    sparse[:, 5] = 9, 4
+    truncation.without_strangers(table)
+    assert (table[:, np.arange(4096) != 5] > 0).mean() < 0.04 and table[1, 5] / table[0, 5] == pytest.approx(0.25, abs=0.01)
+    kept = sparse.copy()
+    truncation.without_strangers(sparse)
+    assert (sparse == kept).all()
+
+
+def test_cut_texts_without_spaces(spark):
+    rng = random.Random(8)
+    name = lambda: "".join(rng.choice("兰德林科诺图卡塔维马阿巴洛森柏布姆奎莫") for _ in range(4))
+    begin = lambda: f"{name()}的{rng.choice(['傍晚', '清晨', '正午时分'])},{rng.choice(['一匹白马', '三篮苹果', '绿色的电车'])}在磨坊附近静静地等待"
+    rows = [(i, f"{begin()},这张照片来自{name()}的{name()}收藏。", "press", "zh") for i in range(300)]
+    rows += [(5000 + i, f"{begin()},这张照片来", "press", "zh") for i in range(3)] + [(6000, "-", "press", "zh")]
+    df = spark.createDataFrame(rows, "pair_id bigint, caption string, source string, lang string")
+    refs = spark.createDataFrame([("zh", t) for _, t, _, _ in rows[:30]], "lang string, ref_text string")
+    assert {r.id for r in truncation.truncated(df, refs).collect() if r.cut} == {5000, 5001, 5002}
